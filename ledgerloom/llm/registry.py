@@ -1,9 +1,16 @@
 """The corpus queries and the SQL of those that SQL can express."""
 
-from . import token_counts, token_store
+from . import decontaminate, language, quality, simhash, token_counts, token_store, toxicity
 
 QUERIES = {
+    "op1_decontamination": decontaminate.query,
+    "op2_quality": quality.query,
     "op3_token_counts": token_counts.query,
+    "op4_language": language.query,
+    "op6_simhash": simhash.query,
     "op8_token_store": token_store.query,
+    "op9_toxicity": toxicity.query,
+}
+ORACLES = {
+    "op1_decontamination": decontaminate.ORACLE,
 }
-ORACLES: dict = {}
