@@ -35,18 +35,25 @@ SAMPLE = 4000
 DICTIONARY = 4096
 #: Toxic passages: words in this share of toxic documents at least, and so many times as common as elsewhere.
 SHARE, LIFT = 0.02, 5
+#: Passages that may be added whole to the trained dictionary.
+ADDED = 256
 LEVEL, MIN_MATCH = 3, 7
 THRESHOLD = 0.7
 #: Windows that a worker remembers.
 MEMO_WINDOWS = 1_000_000
 FRAME = b"<0123456789abcdef>"
-WIDEN = [bytes((x * a + b) & 255 for x in range(256)) for a, b in ((167, 13), (59, 101))]
 
 
-def widened(text: bytes) -> bytes:
-    """Three bytes a letter, so that an unexplained letter costs more than a reference to explained ones."""
+def widened(word: bytes) -> bytes:
+    """A word with its gaps, three bytes a letter: the letter, and two that also depend on the letters before it.
+
+    An unexplained letter so costs more than a reference, and short pieces that many words share explain little.
+    """
+    text = b" %b " % word
     out = bytearray(3 * len(text))
-    out[0::3], out[1::3], out[2::3] = text, text.translate(WIDEN[0]), text.translate(WIDEN[1])
+    out[0::3] = text
+    out[1::3] = bytes((167 * c + 59 * p + 13) & 255 for c, p in zip(text, b"\0" + text))
+    out[2::3] = bytes((59 * c + 31 * p + 17 * q + 101) & 255 for c, p, q in zip(text, b"\0" + text, b"\0\0" + text))
     return bytes(out)
 
 
@@ -72,7 +79,7 @@ class Windows:
         self.empty = len(self.toxic.compress(FRAME + FRAME))
 
     def window(self, word: bytes) -> bytes:
-        return FRAME + widened(b" %b " % word) + FRAME
+        return FRAME + widened(word) + FRAME
 
     def lengths(self, word: bytes) -> tuple[int, int]:
         """Toxic length beyond an empty window, and how much longer the ordinary one is."""
@@ -139,19 +146,25 @@ def train(rows: list[tuple[str, int]], toxic_share: float) -> Model:
     for t, y in fit:
         words = words_of(t)
         if y:
-            passages += [b" %b " % w for w in words if w in telling]
+            passages += [widened(w) for w in words if w in telling]
         elif words:
             picks = rng.integers(0, len(words), 10)
-            ordinary += [widened(b" %b " % b" ".join(words[i : i + 8])) for i in picks]
+            ordinary += [b"".join(map(widened, words[i : i + 8])) for i in picks]
     if not held or min(n) == 0 or len(passages) < 64 or len(ordinary) < 64:
         return Model(b"", b"", 0, 1, [toxic_share])
     size = 3 * DICTIONARY
-    grouped = [widened(b"".join(p)) for p in batched([passages[i] for i in rng.permutation(len(passages))], 4)]
+    grouped = [b"".join(p) for p in batched([passages[i] for i in rng.permutation(len(passages))], 4)]
     most = max(256, min(size, sum(map(len, grouped)) // 4))
     base = zstandard.train_dictionary(size, ordinary, k=72, d=8).as_bytes()
     tox = zstandard.train_dictionary(most, grouped, k=72, d=8).as_bytes()
-    other = zstandard.train_dictionary(size, ordinary[::-1], k=72, d=8).as_bytes()[-len(tox) :]
     tail = base + FRAME
+    # What the trained dictionary has cut in two is added whole, the most telling first.
+    first = Windows(tox + tail, tail)
+    explained = Windows(widened(b"xxxx") + tail, tail).lengths(b"xxxx")[0]
+    for w in sorted(telling, key=lambda w: (seen[0][w] - seen[1][w], w))[:ADDED]:
+        if first.lengths(w)[0] > explained:
+            tox += widened(w)
+    other = zstandard.train_dictionary(len(tox) + size, ordinary[::-1], k=72, d=8).as_bytes()[-len(tox) :]
     windows = Windows(tox + tail, other + tail)
     of = {w: windows.lengths(w) for t, _ in held for w in set(words_of(t))}
     docs = [(np.array([of[w] for w in words_of(t)] or [(999, 0)]), y) for t, y in held]
@@ -159,7 +172,7 @@ def train(rows: list[tuple[str, int]], toxic_share: float) -> Model:
     weight = np.where(y == 1, toxic_share / max(1, (y == 1).sum()), (1 - toxic_share) / max(1, (y == 0).sum()))
     best = (-np.inf, 0, 1)
     for residual in range(0, 16):
-        for gain in range(1, 16):
+        for gain in range(1, 25):
             hits = np.minimum([int(((d[:, 0] <= residual) & (d[:, 1] >= gain)).sum()) for d, _ in docs], 8)
             p = by_count(hits, y, weight)[hits]
             fit_of = float((weight * np.where(y == 1, np.log(p), np.log(1 - p))).sum())
