@@ -24,7 +24,7 @@ TEMPORAL = (T.TimestampType, T.TimestampNTZType, T.DateType)
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def float_text(values: pd.Series) -> pd.Series:
     """Doubles as Python prints them (12345678.0, not 1.2345678E7)."""
     return values.map(lambda v: None if pd.isna(v) else str(v)).astype(object)
