@@ -7,6 +7,7 @@ only at such gaps and ask the library once for each new piece.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 
@@ -14,8 +15,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task per core already
 
-#: Pieces that a worker remembers (about 100 bytes each), in two generations.
-MEMO_PIECES = 800_000
+#: Pieces that a worker remembers (about 150 bytes each), in two generations.
+MEMO_PIECES = 1_600_000
 
 
 def vocabulary(name: str) -> str:
@@ -58,6 +59,12 @@ def stem_and_stop(piece: str) -> tuple[str, str]:
     return piece, ""
 
 
+@functools.cache
+def kept_memo(kind: type, name: str) -> PieceMemo:
+    """The memo of this worker process, which outlives its tasks."""
+    return kind(vocabulary(name))
+
+
 class WordIds(PieceMemo):
     """Ids of the lower-case word-end vocabulary, which drops white space, as little-endian bytes of `width` bytes an id."""
 
@@ -66,6 +73,7 @@ class WordIds(PieceMemo):
 
         super().__init__(limit)
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.stops = {c: np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype=self.dtype).tobytes() for c in ".,"}
 
@@ -74,7 +82,11 @@ class WordIds(PieceMemo):
         for p in pieces:
             split[p] = stem_and_stop(p.lower() if p.isascii() and "<|" not in p else p)
         stems = list({stem for stem, _ in split.values()} - young.keys())
-        for stem, encoding in zip(stems, self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)):
+        plain = [s for s in stems if s.isascii() and s.isalpha()]  # one word of small letters: nothing to normalise or split
+        for stem in plain:
+            young[stem] = np.array([t.id for t in self.model.tokenize(stem)], dtype=self.dtype).tobytes()
+        other = [s for s in stems if s not in young]
+        for stem, encoding in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             young[stem] = np.array(encoding.ids, dtype=self.dtype).tobytes()
         for p, (stem, stop) in split.items():
             young[p] = young[stem] + self.stops[stop] if stop else young[stem]
@@ -99,11 +111,16 @@ class ByteCounts(PieceMemo):
 
         super().__init__(limit)
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
 
     def learn(self, pieces: list[str]) -> None:
         young, split = self.young, {p: stem_and_stop(p) for p in pieces}
         stems = list({stem for stem, _ in split.values()} - young.keys())
-        for stem, encoding in zip(stems, self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)):
+        for stem in stems:
+            if stem.isascii() and stem[1:].isalpha() and (stem[0] == " " or stem[0].isalpha()):  # one word; the vocabulary writes a space as this letter
+                young[stem] = len(self.model.tokenize(stem.replace(" ", "\u0120")))
+        other = [s for s in stems if s not in young]
+        for stem, encoding in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             young[stem] = len(encoding)
         for p, (stem, stop) in split.items():
             young[p] = young[stem] + 1 if stop else young[stem]

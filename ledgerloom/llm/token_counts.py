@@ -90,7 +90,7 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = TOKEN
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = bpe.ByteCounts(bpe.vocabulary(tokenizer))
+        memo = bpe.kept_memo(bpe.ByteCounts, tokenizer)
         for batch in text_slices(batches):
             column = pc.fill_null(batch.column(1), "")
             texts, sizes = column.to_pylist(), pc.binary_length(column)

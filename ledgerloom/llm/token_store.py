@@ -115,7 +115,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
     rows = docs.selectExpr(f"CAST(`{doc_id}` AS BIGINT) AS doc_id", f"coalesce(CAST(`{text}` AS STRING), '') AS text").withColumn("tie", F.xxhash64("text"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = bpe.WordIds(bpe.vocabulary(tokenizer))
+        memo = bpe.kept_memo(bpe.WordIds, tokenizer)
         width, part = memo.dtype.itemsize, TaskContext.get().partitionId()
         end = np.array([end_id], dtype=memo.dtype).tobytes()
         keys, ids, size, seq = [], [], 0, 0
