@@ -11,14 +11,14 @@ a key must pass the chain test before its full difference is counted.
 
 Where many different fingerprints share a key, the bits that remain are cut into four
 runs, of which one must be equal, and the fingerprints are filed again under the longer
-keys, until no key holds more than `BUCKET`, or no bits remain to tell them apart.
+keys, until no key holds more than `BUCKET`. Each time a quarter of the remaining 35 bits
+is fixed, and n free bits tell 2**n fingerprints apart at most, so that five times are enough.
 Copies share a fingerprint and are folded before any of this.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import batched, chain, repeat
 
 import numpy as np
@@ -151,10 +151,10 @@ def links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
         found = new if found is None else found.union(new)
         if not crowded:
             return found
-        hot = files.join(large, ["mask", "key"], "left_semi")
-        parts = [filed(hot.where(F.col("mask") == signed(m)), [(x, -1) for x in longer(m)]) for m, _ in masks if signed(m) in crowded]
-        masks = [(x, -1) for x in sorted({x for m, _ in masks if signed(m) in crowded for x in longer(m)})]
-        files = stored(reduce(DataFrame.union, parts).distinct(), "simhash-keys")
+        deeper = [(signed(m), signed(x)) for m, _ in masks if signed(m) in crowded for x in longer(m)]
+        masks = [(x % (1 << 64), -1) for x in sorted({x for _, x in deeper})]
+        hot = files.join(large, ["mask", "key"], "left_semi").join(F.broadcast(distinct.sparkSession.createDataFrame(deeper, "mask long, longer long")), "mask")
+        files = stored(hot.select(F.col("longer").alias("mask"), F.col("fp").bitwiseAND(F.col("longer")).alias("key"), F.lit(-1).alias("start"), "fp").distinct(), "simhash-keys")
 
 
 def components(pairs: DataFrame) -> DataFrame:
