@@ -26,15 +26,25 @@ def table_order(tables: list[str], links: dict[str, list[Link]]) -> list[str]:
     return out
 
 
+#: Join keys over which rows without a foreign key are spread.
+SPREAD = 1024
+
+
 def _resolved(child: DataFrame, link: Link, ids: DataFrame, i: int, rewrite: bool) -> DataFrame:
-    """`child` with `_late_i`, and with `rewrite` its foreign key replaced. Rows without one pass by the join:
-    the join key of such a row is null, so many of them gather nowhere."""
-    found = child.join(ids.withColumn(f"_found_{i}", F.lit(True)), F.col(f"_fk_{i}") == F.col(f"_token_{i}"), "left")
+    """`child` with `_late_i`, and with `rewrite` its foreign key replaced.
+
+    Rows without a foreign key match nothing. A second join key, 0 wherever there is a foreign key, deals
+    them out by a hash of the row, so that many of them don't gather in one task.
+    """
+    fk, token = F.col(f"_fk_{i}"), F.col(f"_token_{i}")
+    spread = F.when(fk.isNull(), F.pmod(F.xxhash64(*child.columns), F.lit(SPREAD)) + 1).otherwise(F.lit(0))
+    known = ids.withColumns({f"_found_{i}": F.lit(True), f"_zero_{i}": F.xxhash64(token) % 1})
+    found = child.withColumn(f"_spread_{i}", spread).join(known, (fk == token) & (F.col(f"_spread_{i}") == F.col(f"_zero_{i}")), "left")
     late = F.col(link.child_col).isNotNull() & F.col(f"_found_{i}").isNull()
     out = found.withColumn(f"_late_{i}", late)
     if rewrite:
         out = out.withColumn(link.child_col, F.when(F.col(f"_found_{i}"), F.col(f"_id_{i}")).otherwise(F.col(link.child_col)).cast(child.schema[link.child_col].dataType))
-    return out.drop(f"_found_{i}", f"_token_{i}", f"_id_{i}", f"_fk_{i}")
+    return out.drop(*(f"_{x}_{i}" for x in ("found", "token", "id", "fk", "spread", "zero")))
 
 
 def _split(child: DataFrame, columns: list[str], n: int) -> tuple[DataFrame, DataFrame]:
