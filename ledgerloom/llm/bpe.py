@@ -7,16 +7,17 @@ only at such gaps and ask the library once for each new piece.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 
 import numpy as np
 
+from .common import kept
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task per core already
 
 #: Pieces that a worker remembers (about 150 bytes each), in two generations.
-MEMO_PIECES = 1_600_000
+MEMO_PIECES = 1_200_000
 
 
 def vocabulary(name: str) -> str:
@@ -59,10 +60,9 @@ def stem_and_stop(piece: str) -> tuple[str, str]:
     return piece, ""
 
 
-@functools.cache
 def kept_memo(kind: type, name: str) -> PieceMemo:
     """The memo of this worker process, which outlives its tasks."""
-    return kind(vocabulary(name))
+    return kept((kind.__name__, name), lambda: kind(vocabulary(name)))
 
 
 class WordIds(PieceMemo):

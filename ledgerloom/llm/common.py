@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows in an Arrow batch. Documents are large, and a batch is held by Spark and by Python.
+BATCH_ROWS = 1000
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -36,6 +41,22 @@ def fold(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+_KEPT: dict = {}
+
+
+def kept(key: tuple, make: Callable):
+    """What `make` returned for `key`, kept by this worker process after its task ends. A worker keeps one thing at a time."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def by_number(docs: DataFrame) -> DataFrame:
+    """`docs` with its columns named c0, c1, ..., so that no new column clashes with one."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most `rows` rows, so that Python never holds many texts at once."""
     for batch in batches:

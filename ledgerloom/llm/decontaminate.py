@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import load, stored, text_slices
+from .common import by_number, load, stored, text_slices
 
 WINDOW = 10
 #: Words of benchmark text in one pass. A larger benchmark takes more passes over the documents.
@@ -155,9 +155,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents of `docs` in which no benchmark window occurs, with their columns as they were."""
-    text = options.pop("text", "text")
-    whole = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    return contamination(whole, benchmark, **options).where("n_hit = 0").select("row.*")
+    text = docs.columns.index(options.pop("text", "text"))
+    marked = contamination(by_number(docs), benchmark, text=f"c{text}", **options)
+    return marked.where("n_hit = 0").drop("n_words", "n_hit", "contam_items", "contam_spans").toDF(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,6 @@ tells: toxic passages in one, as much other ordinary text in the other.
 
 from __future__ import annotations
 
-import functools
 from collections import Counter
 from collections.abc import Iterator
 from itertools import batched
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, load, text_slices
+from .common import by_number, fold, kept, load, text_slices
 from .decontaminate import words_of
 
 #: Labelled documents of each class that a fit reads at most, those with the smallest hashes of their ids.
@@ -40,7 +39,7 @@ ADDED = 256
 LEVEL, MIN_MATCH = 3, 7
 THRESHOLD = 0.7
 #: Windows that a worker remembers.
-MEMO_WINDOWS = 1_000_000
+MEMO_WINDOWS = 500_000
 FRAME = b"<0123456789abcdef>"
 
 
@@ -110,10 +109,9 @@ class Scorer:
         return self.model.scores[min(hits, len(self.model.scores) - 1)]
 
 
-@functools.lru_cache(maxsize=2)
 def kept_scorer(model: Model) -> Scorer:
     """The scorer of this worker process, which outlives its tasks."""
-    return Scorer(model)
+    return kept(("toxicity", model), lambda: Scorer(model))
 
 
 def never_falling(values: list[float], weights: list[float]) -> list[float]:
@@ -232,8 +230,8 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text:
 def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of `docs` that are not flagged, with their columns as they were."""
     model = fit(docs, labels, text=text, **options)
-    whole = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    return toxicity(whole, model).where("tox_flag = 0").select("row.*")
+    flagged = toxicity(by_number(docs), model, text=f"c{docs.columns.index(text)}")
+    return flagged.where("tox_flag = 0").drop("tox_windows", "tox_score", "tox_flag").toDF(*docs.columns)
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
