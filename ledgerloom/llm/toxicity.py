@@ -37,6 +37,8 @@ SHARE, LIFT = 0.02, 5
 #: Passages that may be added whole to the trained dictionary.
 ADDED = 256
 LEVEL, MIN_MATCH = 3, 7
+#: Thresholds tried: residuals under the first, gains under the second.
+RESIDUALS, GAINS = 16, 25
 THRESHOLD = 0.7
 #: Windows that a worker remembers.
 MEMO_WINDOWS = 500_000
@@ -165,21 +167,31 @@ def train(rows: list[tuple[str, int]], toxic_share: float) -> Model:
     other = zstandard.train_dictionary(len(tox) + size, ordinary[::-1], k=72, d=8).as_bytes()[-len(tox) :]
     windows = Windows(tox + tail, other + tail)
     of = {w: windows.lengths(w) for t, _ in held for w in set(words_of(t))}
-    docs = [(np.array([of[w] for w in words_of(t)] or [(999, 0)]), y) for t, y in held]
-    y = np.array([label for _, label in docs])
+    y = np.array([label for _, label in held])
     weight = np.where(y == 1, toxic_share / max(1, (y == 1).sum()), (1 - toxic_share) / max(1, (y == 0).sum()))
+    counts = np.array([within([of[w] for w in words_of(t)]) for t, _ in held])
     best = (-np.inf, 0, 1)
-    for residual in range(0, 16):
-        for gain in range(1, 25):
-            hits = np.minimum([int(((d[:, 0] <= residual) & (d[:, 1] >= gain)).sum()) for d, _ in docs], 8)
+    for residual in range(RESIDUALS):
+        for gain in range(1, GAINS):
+            hits = np.minimum(counts[:, residual, gain], 8)
             p = by_count(hits, y, weight)[hits]
             fit_of = float((weight * np.where(y == 1, np.log(p), np.log(1 - p))).sum())
             best = max(best, (fit_of, -residual, gain))
     residual, gain = -best[1], best[2]
-    hits = np.minimum([int(((d[:, 0] <= residual) & (d[:, 1] >= gain)).sum()) for d, _ in docs], 8)
+    hits = np.minimum(counts[:, residual, gain], 8)
     return Model(tox + tail, other + tail, residual, gain, by_count(hits, y, weight).tolist())
 
 
+def within(lengths: list[tuple[int, int]]) -> np.ndarray:
+    """How many windows lie within each residual and reach each gain."""
+    found = np.zeros((RESIDUALS, GAINS), np.int64)
+    if lengths:
+        own = np.array(lengths)
+        own = own[(own[:, 0] < RESIDUALS) & (own[:, 1] >= 0)]
+        np.add.at(found, (np.maximum(own[:, 0], 0), np.minimum(own[:, 1], GAINS - 1)), 1)
+    return found.cumsum(axis=0)[:, ::-1].cumsum(axis=1)[:, ::-1]
+
+
 def by_count(hits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Probability of the toxic class at each count of toxic windows, smoothed and never falling."""
     prior = float((weight * (y == 1)).sum() / weight.sum())
