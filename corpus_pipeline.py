@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, mixing, simhash, token_store, toxicity
+from ledgerloom.llm import decontaminate, mixing, similar, token_store, toxicity
 from ledgerloom.llm.common import load, stored
 
 
@@ -14,7 +14,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.deduplicate(docs)
+    return similar.deduplicate(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ Copies share a fingerprint and are folded before any of this.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import batched, chain, repeat
 
 import numpy as np
@@ -181,10 +181,10 @@ def components(pairs: DataFrame) -> DataFrame:
     return roots
 
 
-def classes(rows: DataFrame, least, bucket: int) -> DataFrame:
-    """`fp`, `low`: for every fingerprint of `rows` the minimum of `least` over all rows that links lead to."""
+def classes(rows: DataFrame, least, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`fp`, `low`: for every fingerprint of `rows` the minimum of `least` over all rows that the links of `find` lead to."""
     distinct = stored(rows.groupBy("fp").agg(F.min(least).alias("low")), "simhash-distinct")
-    roots = stored(components(links(distinct.select("fp"), bucket)), "simhash-components")
+    roots = stored(components(find(distinct.select("fp"))), "simhash-components")
     placed = stored(distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low"), "simhash-placed")
     lows = stored(placed.groupBy("root").agg(F.min("low").alias("low")), "simhash-lows")
     return stored(placed.select("fp", "root").join(lows, "root").select("fp", "low"), "simhash-classes")
@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKE
     """
     rows = docs.selectExpr(f"CAST(`{doc_id}` AS BIGINT) AS doc_id", f"CAST(`{text}` AS STRING) AS text")
     rows = stored(with_fingerprints(rows, shingle), "simhash-fingerprints")
-    return rows.join(classes(rows, F.col("doc_id"), bucket), "fp").select("doc_id", "fp", F.col("low").alias("component_id"))
+    return rows.join(classes(rows, F.col("doc_id"), lambda distinct: links(distinct, bucket)), "fp").select("doc_id", "fp", F.col("low").alias("component_id"))
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,11 +207,16 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET, d
 
     Rows that share id and text are one document; the first of them stays.
     """
+    return one_of_each(docs, lambda rows: with_fingerprints(rows, shingle), lambda distinct: links(distinct, bucket), doc_id, text)
+
+
+def one_of_each(docs: DataFrame, with_fp: Callable[[DataFrame], DataFrame], find: Callable[[DataFrame], DataFrame], doc_id: str, text: str) -> DataFrame:
+    """`deduplicate` with other fingerprints, put in place of `text` by `with_fp`, and other links, found by `find`."""
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     text_of = F.col("row").getField(text).cast("string")
     named = {"is_null": F.col("row").getField(doc_id).isNull(), "doc_id": F.coalesce(F.col("row").getField(doc_id).cast("long"), F.lit(0)), "hash_1": F.xxhash64(text_of), "hash_2": F.xxhash64(F.lit(7), text_of)}
-    rows = stored(with_fingerprints(whole.select(*(c.alias(k) for k, c in named.items()), text_of.alias("text")), shingle), "simhash-fingerprints")
-    kept = classes(rows, F.struct(*named), bucket).select("low.*").distinct()
+    rows = stored(with_fp(whole.select(*(c.alias(k) for k, c in named.items()), text_of.alias("text"))), "simhash-fingerprints")
+    kept = classes(rows, F.struct(*named), find).select("low.*").distinct()
     return whole.withColumns(named).join(kept, list(named), "left_semi").dropDuplicates(list(named)).select("row.*")
 
 
