@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,6 +98,25 @@ def summed(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by).applyInArrow(add, ", ".join(f"{c} int" for c in by) + ", v array<double>")
 
 
+def partial_equations(rows: DataFrame, held) -> DataFrame:
+    """Z'Z with Z'y of every task, by rows `i`, dealt out to 16 groups `part` by the number of the task.
+
+    A task that runs again has the same `part`; with another, its sums would reach reducers that
+    have them already and miss some that have not.
+    """
+
+    def equations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((FEATURES + 1, FEATURES + 2))
+        for batch in batches:
+            z = fourier(matrix(batch), *held.value)
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            total += z.T @ np.column_stack((z, y))
+        part = TaskContext.get().partitionId() % 16
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1), pa.int32()), pa.array(np.full(FEATURES + 1, part), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["i", "part", "v"])
+
+    return rows.select(*STATISTICS, "y").mapInArrow(equations, "i int, part int, v array<double>")
+
+
 def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> Model | None:
     """A model of all rows of `stats` that have a label. None without both labels. Of several labels of one id the larger counts."""
     spark = stats.sparkSession
@@ -108,17 +128,7 @@ def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str
     mean = np.array([whole[f"avg_{s}"] for s in STATISTICS])
     scale = np.array([max(whole[f"stddev_pop_{s}"], 1e-6) for s in STATISTICS])
     held = spark.sparkContext.broadcast((mean, scale))
-
-    def equations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((FEATURES + 1, FEATURES + 2))
-        for batch in batches:
-            z = fourier(matrix(batch), *held.value)
-            y = batch.column("y").to_numpy(zero_copy_only=False)
-            total += z.T @ np.column_stack((z, y))
-        part = np.random.default_rng().integers(0, 16)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1), pa.int32()), pa.array(np.full(FEATURES + 1, part), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["i", "part", "v"])
-
-    parts = rows.select(*STATISTICS, "y").mapInArrow(equations, "i int, part int, v array<double>")
+    parts = partial_equations(rows, held)
     lines = summed(summed(parts, ["i", "part"]).select("i", "v"), ["i"]).collect()  # one row a feature
     total = np.array([r.v for r in sorted(lines)])
     left = total[:, :-1] + RIDGE * whole.n * np.diag([*[1.0] * FEATURES, 0.0])
