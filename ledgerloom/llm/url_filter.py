@@ -21,7 +21,7 @@ HOST_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example
 #: (pattern, verdict, literal tokens of which a match holds every one). For URLs that no host rule fits; the longest pattern wins.
 PATTERN_RULES = [
     (r"[/._-]casino[/._-]", "block", ["casino"]),
-    (r"/wp-login\.php", "block", ["wp", "login", "php"]),
+    (r"/wp-login\.php", "block", ["wp", "login"]),  # php may go on: php5
     (r"[?&]utm_source=feed(&|#|$)", "block", ["utm", "source", "feed"]),
     (r"\.(exe|msi)([?#]|$)", "block", None),
     (r"/blog/.*[?&]page=[0-9]+", "allow", ["blog", "page"]),
