@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of `spark.checkpoint.dir`. Only a session without one (as in tests) gets its own."""
+    """The folder of `spark.checkpoint.dir`.
+
+    A local session without one (as in tests) gets a temporary folder of its own. On a cluster there is
+    no folder that all executors see unless the setting names one, so its absence is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
