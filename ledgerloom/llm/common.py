@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -10,25 +9,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.folders import shared_folder
 
-#: Rows in an Arrow batch. Documents are large, and a batch is held by Spark and by Python.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch. Documents are large, and a batch is held by Spark and by Python.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+#: Rows and bytes of what Python works on at once; a longer text comes alone.
+SLICE_ROWS, SLICE_BYTES = 1024, 8 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. The session's Arrow batches are bounded here, as every query of this folder begins with it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only a session without one (as in tests) gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written as a table in the shared folder and read back: lineage ends here, and a lost executor costs nothing."""
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
@@ -57,11 +52,17 @@ def by_number(docs: DataFrame) -> DataFrame:
     return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut to at most `rows` rows, so that Python never holds many texts at once."""
+def text_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in order, halved until each has at most `rows` rows and `size` bytes, or one row."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        left = [batch] if batch.num_rows else []
+        while left:
+            part = left.pop()
+            if part.num_rows == 1 or part.num_rows <= rows and part.nbytes <= size:
+                yield part
+            else:
+                half = part.num_rows // 2
+                left += [part.slice(half), part.slice(0, half)]
 
 
 def ascii_lower_table(keep: str = "") -> bytes:

@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame
 from . import bpe
 from .common import load, text_slices
 
-#: Characters above which a text counts as huge, and how it is cut.
-HUGE_CHARS = 65_536
-CHUNK_CHARS = 32_768
+#: Characters of a chunk and of the overlap of two; a text longer than a chunk is huge and is cut into several.
+CHUNK_CHARS = 8192
 OVERLAP_CHARS = 512
 #: No seam so near to a chunk's end: longer than any special token, with two whole words between.
 END_MARGIN = 32
@@ -30,17 +29,22 @@ TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
 
 
-def word_starts(encoding) -> tuple[np.ndarray, np.ndarray]:
-    """Places where a word of the splitting rule starts, and the index of its first token.
+def seam_of(here, start: int, first: int, then, begin: int, end: int, last: bool) -> tuple[int, int] | None:
+    """The last place where both chunks start a word, as the token of `here` (begun at `start`) and of `then` (begun at `begin`).
 
-    Special tokens have no word; they start one of their own.
+    The first place at which a chunk starts is no evidence, as a word may be cut there, and nor are the last
+    two words of `here`, or what is near its end, unless the text ends there. Special tokens belong to no word.
     """
-    words = np.array([-1 - i if w is None else w for i, w in enumerate(encoding.word_ids)], dtype=np.int64)
-    if not len(words):
-        return words, words
-    starts = np.array(encoding.offsets, dtype=np.int64)[:, 0]
-    first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-    return starts[first], first
+    edge = end - (0 if last else END_MARGIN)
+    words = here.word_ids
+    final = next((w for w in reversed(words) if w is not None), -1) - (0 if last else 2)
+    for place in range(min(edge, end - 1), begin, -1):
+        ours, theirs = here.char_to_word(place - start), then.char_to_word(place - begin)
+        if ours is None or theirs is None or ours > final or here.word_to_chars(ours)[0] != place - start or then.word_to_chars(theirs)[0] != place - begin:
+            continue
+        token = here.word_to_tokens(ours)[0]
+        return (token, then.word_to_tokens(theirs)[0]) if token >= first else None
+    return None
 
 
 def spliced(tokenizer, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> list[tuple[object, int, int]]:
@@ -52,28 +56,17 @@ def spliced(tokenizer, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERL
         begin, width = end - min(overlap, end - start), overlap
         upto = min(len(text), begin + chunk)
         then = encode(begin, upto)
-        while True:
-            ours, our_tokens = word_starts(here)
-            theirs, their_tokens = word_starts(then)
-            # The first place at which a chunk starts is no evidence: a word may be cut there.
-            common = np.intersect1d(ours[1:] + start, theirs[1:] + begin)
-            edge = end - END_MARGIN if end < len(text) else end
-            settled = ours[:-2] + start if end < len(text) else ours + start
-            common = common[(common <= edge) & np.isin(common, settled) & (our_tokens[np.searchsorted(ours, common - start)] >= first)]
-            if len(common) or end == len(text):
-                break
+        while (seam := seam_of(here, start, first, then, begin, end, end == len(text))) is None and end < len(text):
             width *= 2
             end = min(len(text), begin + width)
             if end > upto:
                 upto = min(len(text), end + chunk)
                 then = encode(begin, upto)
             here = encode(start, end)
-        if not len(common):  # the widened chunk has reached the end of the text
+        if seam is None:  # the widened chunk has reached the end of the text
             break
-        seam = int(common[-1])
-        parts.append((here, first, int(our_tokens[np.searchsorted(ours, seam - start)])))
-        first = int(their_tokens[np.searchsorted(theirs, seam - begin)])
-        here, start, end = then, begin, upto
+        parts.append((here, first, seam[0]))
+        here, first, start, end = then, seam[1], begin, upto
     return [*parts, (here, first, len(here))]
 
 
@@ -81,30 +74,26 @@ def spliced_ids(tokenizer, text: str, chunk: int = CHUNK_CHARS, overlap: int = O
     return [i for encoding, a, b in spliced(tokenizer, text, chunk, overlap) for i in encoding.ids[a:b]]
 
 
-def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = TOKEN_LIMIT, huge: int = HUGE_CHARS, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = TOKEN_LIMIT, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: `doc_id`, `n_bytes`, `n_tokens`, `over_limit`, `n_chunks`.
 
     A null text counts as empty: 0 bytes, 0 tokens. Repeated rows are counted each; a null id
     stays null; other columns, whatever their names, are left out. An empty table gives none.
-    Texts of up to `huge` characters are encoded whole (1 chunk), piece by piece with a memo.
+    Texts of up to `chunk` characters fit one chunk, which is counted piece by piece with a memo.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = bpe.kept_memo(bpe.ByteCounts, tokenizer)
         for batch in text_slices(batches):
-            column = pc.fill_null(batch.column(1), "")
-            texts, sizes = column.to_pylist(), pc.binary_length(column)
-            small = iter(memo.count([t for t in texts if len(t) <= huge]))
-            counted = []
-            for t in texts:
-                if len(t) <= huge:
-                    counted.append((next(small), 1))
-                else:
-                    parts = spliced(memo.tokenizer, t, chunk, overlap)
-                    counted.append((sum(b - a for _, a, b in parts), len(parts)))
-            n = pa.array([c for c, _ in counted], pa.int64())
+            texts = pc.fill_null(batch.column(1), "")
+            huge = pc.greater(pc.utf8_length(texts), chunk)
+            tokens, chunks = memo.count(pc.if_else(huge, "", texts)), np.ones(len(texts), np.int32)
+            for i, t in zip(np.flatnonzero(huge.to_numpy(zero_copy_only=False)), texts.filter(huge).to_pylist()):
+                parts = spliced(memo.tokenizer, t, chunk, overlap)
+                tokens[i], chunks[i] = sum(b - a for _, a, b in parts), len(parts)
+            n = pa.array(tokens, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pc.cast(sizes, pa.int64()), n, pc.greater(n, limit), pa.array([c for _, c in counted], pa.int32())],
+                [batch.column(0), pc.cast(pc.binary_length(texts), pa.int64()), n, pc.greater(n, limit), pa.array(chunks)],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit", "n_chunks"],
             )
 

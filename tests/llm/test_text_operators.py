@@ -5,11 +5,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import LARGE, SMALL, compare
+from conftest import LARGE, MEDIUM, SMALL, compare
 from ledgerloom.llm import bpe, decontaminate, language, quality, registry, token_counts, token_store, toxicity, url_filter
 from ledgerloom.llm.common import load
 
@@ -81,8 +82,9 @@ def test_pieces_give_the_library_ids(limit):
     want = lambda name, part: [e.ids for e in Tokenizer.from_file(bpe.vocabulary(name)).encode_batch(part, add_special_tokens=False)]
     for at in range(0, len(texts), 500):
         part = texts[at : at + 500]
-        assert counts.count(part) == [len(x) for x in want(token_counts.TOKENIZER, part)]
-        assert [np.frombuffer(x, ids.dtype).tolist() for x in ids.encode(part)] == want(token_store.TOKENIZER, part)
+        assert counts.count(pa.array(part)).tolist() == [len(x) for x in want(token_counts.TOKENIZER, part)]
+        found, sizes = ids.encode(pa.array(part))
+        assert [x.tolist() for x in np.split(found, np.cumsum(sizes)[:-1])] == want(token_store.TOKENIZER, part)
 
 
 def test_splices_give_the_library_ids():
@@ -97,7 +99,7 @@ def test_splices_give_the_library_ids():
 
 
 def test_token_counts_of_odd_rows(spark, odd):
-    found = token_counts.token_counts(odd, huge=1000, chunk=500, overlap=64).collect()
+    found = token_counts.token_counts(odd, chunk=500, overlap=64).collect()
     assert len(found) == 8 and sorted(r.n_bytes for r in found) == [0, 0, 0, 10, 12, 20, 20, len(LONG)]
     assert [(r.n_tokens, r.over_limit) for r in found if r.doc_id == 6] == [(40_001, True)]
     assert token_counts.token_counts(odd.limit(0)).count() == 0
@@ -124,6 +126,21 @@ def test_store_round_trip(spark, odd):
     assert sorted((r.doc_id, list(r.ids)) for r in token_store.lookup(spark, path, asked).collect()) == sorted((k, x) for k, x in rows if k in (1, 7))
 
 
+def test_token_counts_are_those_of_the_library(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(bpe.vocabulary(token_counts.TOKENIZER))
+    docs = load(spark, MEDIUM, "documents")
+    want = {r.doc_id: len(tokenizer.encode(r.text or "", add_special_tokens=False)) for r in docs.collect()}
+    found = registry.QUERIES["op3_token_counts"](spark, MEDIUM).collect()
+    assert {r.doc_id: r.n_tokens for r in found} == want and len(found) == len(want)
+    assert sum(r.n_chunks > 1 for r in found) > 0.02 * len(found)
+
+
+def test_ranges_of_parts():
+    assert token_store.spans([1, 2, 3, 7, 9, 100], 3) == [(1, 3), (7, 9), (100, 100)] and token_store.spans([]) == []
+
+
 def test_store_of_nothing(spark, odd):
     assert token_store.token_store(odd.limit(0)).count() == 0
 
@@ -132,8 +149,8 @@ def test_index_is_minimal_and_perfect():
     keys = np.unique(np.random.default_rng(5).integers(-(2**62), 2**62, 20_000))
     sizes, bits, slot = token_store.build_index(keys)
     assert sorted(slot.tolist()) == list(range(len(keys)))
-    row = token_store.packed(0, 0, keys.tolist(), [b"\x01\x00"] * len(keys), 2)
-    index = token_store.Index(row["levels"], row["filter"], row["slots"])
+    row = token_store.packed(0, 0, 0, keys.tolist(), [1] * len(keys), np.ones(len(keys), np.uint16))
+    index = token_store.Index(row["levels"], row["filter"], row["ranks"], row["slots"])
     assert (keys[index.slots[index.find(keys), 1]] == keys).all()
     assert (index.find(keys + 1)[~np.isin(keys + 1, keys)] == -1).mean() > 0.999
 
