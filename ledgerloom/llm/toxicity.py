@@ -1,114 +1,122 @@
 """Toxicity by compression distance to two zstandard dictionaries.
 
-One dictionary is trained on toxic text, one on ordinary text. A window is a word of a
-document with its gaps, written so that zstandard can tell small differences: every
-letter as three bytes, between two frames that both dictionaries hold. What the toxic
-dictionary explains compresses to the length of an empty window; the same word costs
-more under the ordinary dictionary. A window counts as toxic if its toxic length is
-within `residual` of the empty window and the ordinary one is longer by `gain`; both
-thresholds, and the probability for each count of toxic windows, are calibrated on
-labelled documents that trained no dictionary.
-
-Both dictionaries end in the same ordinary text, so that only the part that differs
-tells: toxic passages in one, as much other ordinary text in the other.
+One dictionary is trained on the whole texts of toxic documents, one on whole texts of
+ordinary ones, as many bytes of each, with the same parameters. No word is picked: what
+the dictionaries hold is what zstandard's trainer finds repeated in either class.
+
+A window is a word of a document with its gaps. Its difference is its compressed length
+under the ordinary dictionary less that under the toxic one. A sequence of zstandard costs
+some three bytes, as much as a short word, so windows are coded with three bytes a letter:
+the letter and two that depend on the letters before it. The score of a document adds up
+weights: for each threshold that its largest difference reaches, for each that its second
+reaches, and for the number of its windows; a logistic curve makes it a probability. The
+weights are calibrated on labelled documents that trained no dictionary, and no difference
+counts against toxicity.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import batched
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import PieceMemo, different
 from .common import by_number, fold, kept, load, text_slices
 from .decontaminate import words_of
 
-#: Labelled documents of each class that a fit reads at most, those with the smallest hashes of their ids.
-SAMPLE = 4000
-#: Bytes of a dictionary before letters are widened.
-DICTIONARY = 4096
-#: Toxic passages: words in this share of toxic documents at least, and so many times as common as elsewhere.
-SHARE, LIFT = 0.02, 5
-#: Passages that may be added whole to the trained dictionary.
-ADDED = 256
-LEVEL, MIN_MATCH = 3, 7
-#: Thresholds tried: residuals under the first, gains under the second.
-RESIDUALS, GAINS = 16, 25
+#: Labelled documents of each class that a fit reads at most, those with the smallest hashes of their
+#: ids, and the longest text among them; no more than both together reach the driver.
+SAMPLE, SAMPLE_CHARS = 6000, 16_384
+#: Bytes of a dictionary at most (a quarter of the training text, if that is less), and the trainer's segment and match lengths.
+DICTIONARY, SEGMENT, MATCH = 900_000, 72, 6
+#: Words of a training sample.
+SAMPLE_WORDS = 64
+LEVEL = 3
+#: Thresholds for the largest and the second difference of a document.
+FIRST, SECOND = tuple(range(2, 22, 2)), tuple(range(4, 18, 3))
+TOP = len(FIRST) + len(SECOND)
+#: Weight of toxic documents among those that calibrate: a missed one counts more than their own share would have it.
+SHARE = 0.25
+NO_WINDOW = -100
 THRESHOLD = 0.7
 #: Windows that a worker remembers.
-MEMO_WINDOWS = 500_000
-FRAME = b"<0123456789abcdef>"
+MEMO_WINDOWS = 1_000_000
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def widened(word: bytes) -> bytes:
-    """A word with its gaps, three bytes a letter: the letter, and two that also depend on the letters before it.
-
-    An unexplained letter so costs more than a reference, and short pieces that many words share explain little.
-    """
-    text = b" %b " % word
-    out = bytearray(3 * len(text))
-    out[0::3] = text
-    out[1::3] = bytes((167 * c + 59 * p + 13) & 255 for c, p in zip(text, b"\0" + text))
-    out[2::3] = bytes((59 * c + 31 * p + 17 * q + 101) & 255 for c, p, q in zip(text, b"\0" + text, b"\0\0" + text))
-    return bytes(out)
+def coded(words: list[bytes]) -> list[bytes]:
+    """Each word with its gaps, three bytes a letter: the letter, and two that also depend on the two letters before it."""
+    texts = [b" %b " % w for w in words]
+    if not texts:
+        return []
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    c = np.frombuffer(b"".join(texts), np.uint8).astype(np.int32)
+    starts = np.concatenate(([0], ends[:-1]))
+    p, q = np.concatenate(([0], c[:-1])), np.concatenate(([0, 0], c[:-2]))
+    p[starts] = q[starts] = q[starts + 1] = 0
+    out = np.column_stack((c, 167 * c + 59 * p + 13, 59 * c + 31 * p + 17 * q + 101)).astype(np.uint8).tobytes()
+    return [out[3 * a : 3 * b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
 class Model(NamedTuple):
     toxic: bytes
     ordinary: bytes
-    residual: int
-    gain: int
-    scores: list  # probability at 0, 1, 2, ... toxic windows; the last for all more
+    weights: tuple  # of the TOP thresholds, the logarithm of the number of windows, and 1
+    prior: float  # score without dictionaries or windows
 
 
-class Windows:
-    """Compressed lengths of windows under both dictionaries."""
+class Windows(PieceMemo):
+    """Differences of compressed lengths of windows (words): what the ordinary dictionary costs more than the toxic one."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes):
+    def __init__(self, toxic: bytes, ordinary: bytes, limit: int = MEMO_WINDOWS):
         import zstandard
 
+        super().__init__(limit)
+
         def compressor(raw: bytes):
-            shape = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=128, dict_size=len(raw), min_match=MIN_MATCH, write_content_size=False, write_checksum=False, write_dict_id=False)
-            return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=shape)
+            shape = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=64, dict_size=DICTIONARY, write_content_size=False, write_checksum=False, write_dict_id=False)
+            return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw), compression_params=shape)
 
         self.toxic, self.ordinary = compressor(toxic), compressor(ordinary)
-        self.empty = len(self.toxic.compress(FRAME + FRAME))
-
-    def window(self, word: bytes) -> bytes:
-        return FRAME + widened(word) + FRAME
 
-    def lengths(self, word: bytes) -> tuple[int, int]:
-        """Toxic length beyond an empty window, and how much longer the ordinary one is."""
-        window = self.window(word)
-        a, b = len(self.toxic.compress(window)), len(self.ordinary.compress(window))
-        return a - self.empty, b - a
+    def learn(self, pieces: list[str]) -> list[int]:
+        toxic, ordinary = self.toxic.compress, self.ordinary.compress
+        return [len(ordinary(w)) - len(toxic(w)) for w in coded([p.encode("utf-8") for p in pieces])]
+
+
+def features(texts: pa.Array, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text (no nulls) which of the thresholds FIRST and SECOND it reaches, the logarithm of its number of windows, and 1; and that number."""
+    if not len(texts):
+        return np.zeros((0, TOP + 2)), np.zeros(0, np.int64)
+    plain = pc.replace_substring_regex(pc.ascii_lower(texts), SEPARATORS, " ")
+    codes, words, starts = different(pc.split_pattern(plain, " "))
+    of = np.array([NO_WINDOW if w == "" else v for w, v in zip(words, windows.values(words))], np.int64)
+    values, starts = of[codes], starts[:-1]  # every text has a piece, if an empty one
+    n = np.add.reduceat((values != NO_WINDOW).astype(np.int64), starts)
+    reached = []
+    for steps in (FIRST, SECOND):
+        best = np.maximum.reduceat(values * len(values) - np.arange(len(values)), starts)
+        at = -best % len(values)
+        reached += [values[at] >= t for t in steps]
+        values[at] = NO_WINDOW
+    return np.column_stack((*reached, np.log1p(n), np.ones(len(n)))).astype(float), n
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.windows, self.memo = model, Windows(model.toxic, model.ordinary), {}
-
-    def hits(self, words: list[bytes]) -> int:
-        memo = self.memo
-        new = set(words).difference(memo)
-        if new:
-            if len(memo) > MEMO_WINDOWS:
-                memo.clear()
-                new = set(words)
-            w, most, least = self.windows, self.model.residual, self.model.gain
-            for word in new:
-                window = w.window(word)
-                a = len(w.toxic.compress(window))
-                memo[word] = a - w.empty <= most and len(w.ordinary.compress(window)) - a >= least
-        return sum(map(memo.__getitem__, words))
-
-    def score(self, hits: int) -> float:
-        return self.model.scores[min(hits, len(self.model.scores) - 1)]
+        self.model, self.windows = model, Windows(model.toxic, model.ordinary) if model.toxic else None
+
+    def scores(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of texts (no nulls) and their numbers of windows."""
+        if self.windows is None:
+            return np.full(len(texts), self.model.prior), np.zeros(len(texts), np.int64)
+        x, n = features(texts, self.windows)
+        return np.where(n > 0, logistic(x @ np.array(self.model.weights)), 0.0), n
 
 
 def kept_scorer(model: Model) -> Scorer:
@@ -116,93 +124,67 @@ def kept_scorer(model: Model) -> Scorer:
     return kept(("toxicity", model), lambda: Scorer(model))
 
 
-def never_falling(values: list[float], weights: list[float]) -> list[float]:
-    """The closest sequence that never falls: neighbours that do are pooled."""
-    pools: list[list[float]] = []
-    for v, w in zip(values, weights):
-        pools.append([v, w, 1])
-        while len(pools) > 1 and pools[-2][0] >= pools[-1][0]:
-            v2, w2, n2 = pools.pop()
-            v1, w1, n1 = pools.pop()
-            pools.append([(v1 * w1 + v2 * w2) / (w1 + w2), w1 + w2, n1 + n2])
-    return [v for v, _, n in pools for _ in range(n)]
+def logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(rows: list[tuple[str, int]], toxic_share: float) -> Model:
-    """`rows`: (text, 0 or 1) of labelled documents in a fixed order; `toxic_share`: of toxic ones among all labelled."""
+def calibrated(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of a logistic curve by Newton's method with a little ridge; thresholds of negative weight are left out."""
+    own, use = np.zeros(x.shape[1]), np.ones(x.shape[1], bool)
+    for _ in range(TOP + 1):
+        part, ridge = x[:, use], 1e-2 * np.eye(use.sum())
+        w = np.zeros(use.sum())
+        for _ in range(60):
+            p = logistic(part @ w)
+            step = np.linalg.solve((part * (weight * p * (1 - p))[:, None]).T @ part + ridge, part.T @ (weight * (y - p)) - ridge @ w)
+            w += step * min(1.0, 4 / (1e-9 + np.abs(step).max()))
+        own[:] = 0
+        own[use] = w
+        if (own[:TOP] >= 0).all():
+            break
+        use[:TOP] &= own[:TOP] >= 0
+    return own
+
+
+def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes] | None:
+    """A dictionary of the whole texts of each class, from as many bytes of either. None if there are too few to train on."""
     import zstandard
 
-    texts = sorted({(t, y) for t, y in rows})  # exact copies tell nothing new
-    rng = np.random.default_rng(42)
-    order = rng.permutation(len(texts))
-    fit = [texts[i] for i in order[: len(order) * 6 // 10]]
-    held = [texts[i] for i in order[len(order) * 6 // 10 :]]
-    seen, n = (Counter(), Counter()), [0, 0]
-    for t, y in fit:
-        seen[y].update(set(words_of(t)))
-        n[y] += 1
-    telling = {w for w, c in seen[1].items() if c >= max(3, SHARE * n[1]) and c / max(1, n[1]) > LIFT * (seen[0][w] + 0.5) / max(1, n[0])}
-    passages, ordinary = [], []
-    for t, y in fit:
-        words = words_of(t)
-        if y:
-            passages += [widened(w) for w in words if w in telling]
-        elif words:
-            picks = rng.integers(0, len(words), 10)
-            ordinary += [b"".join(map(widened, words[i : i + 8])) for i in picks]
-    if not held or min(n) == 0 or len(passages) < 64 or len(ordinary) < 64:
-        return Model(b"", b"", 0, 1, [toxic_share])
-    size = 3 * DICTIONARY
-    grouped = [b"".join(p) for p in batched([passages[i] for i in rng.permutation(len(passages))], 4)]
-    most = max(256, min(size, sum(map(len, grouped)) // 4))
-    base = zstandard.train_dictionary(size, ordinary, k=72, d=8).as_bytes()
-    tox = zstandard.train_dictionary(most, grouped, k=72, d=8).as_bytes()
-    tail = base + FRAME
-    # What the trained dictionary has cut in two is added whole, the most telling first.
-    first = Windows(tox + tail, tail)
-    explained = Windows(widened(b"xxxx") + tail, tail).lengths(b"xxxx")[0]
-    for w in sorted(telling, key=lambda w: (seen[0][w] - seen[1][w], w))[:ADDED]:
-        if first.lengths(w)[0] > explained:
-            tox += widened(w)
-    other = zstandard.train_dictionary(len(tox) + size, ordinary[::-1], k=72, d=8).as_bytes()[-len(tox) :]
-    windows = Windows(tox + tail, other + tail)
-    of = {w: windows.lengths(w) for t, _ in held for w in set(words_of(t))}
-    y = np.array([label for _, label in held])
-    weight = np.where(y == 1, toxic_share / max(1, (y == 1).sum()), (1 - toxic_share) / max(1, (y == 0).sum()))
-    counts = np.array([within([of[w] for w in words_of(t)]) for t, _ in held])
-    best = (-np.inf, 0, 1)
-    for residual in range(RESIDUALS):
-        for gain in range(1, GAINS):
-            hits = np.minimum(counts[:, residual, gain], 8)
-            p = by_count(hits, y, weight)[hits]
-            fit_of = float((weight * np.where(y == 1, np.log(p), np.log(1 - p))).sum())
-            best = max(best, (fit_of, -residual, gain))
-    residual, gain = -best[1], best[2]
-    hits = np.minimum(counts[:, residual, gain], 8)
-    return Model(tox + tail, other + tail, residual, gain, by_count(hits, y, weight).tolist())
-
-
-def within(lengths: list[tuple[int, int]]) -> np.ndarray:
-    """How many windows lie within each residual and reach each gain."""
-    found = np.zeros((RESIDUALS, GAINS), np.int64)
-    if lengths:
-        own = np.array(lengths)
-        own = own[(own[:, 0] < RESIDUALS) & (own[:, 1] >= 0)]
-        np.add.at(found, (np.maximum(own[:, 0], 0), np.minimum(own[:, 1], GAINS - 1)), 1)
-    return found.cumsum(axis=0)[:, ::-1].cumsum(axis=1)[:, ::-1]
-
-
-def by_count(hits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Probability of the toxic class at each count of toxic windows, smoothed and never falling."""
-    prior = float((weight * (y == 1)).sum() / weight.sum())
-    unit = 0.1 * float(weight.mean())  # a tenth of a document keeps the rates off 0 and 1
-    all_, tox = np.bincount(hits, weight, 9), np.bincount(hits, weight * (y == 1), 9)
-    return np.clip(never_falling((tox + unit * prior) / (all_ + unit), all_ + unit), 1e-4, 1 - 1e-4)
+    def samples(texts: list[str]) -> list[bytes]:
+        return [b"".join(own[i : i + SAMPLE_WORDS]) for own in (coded(words_of(t)) for t in texts) for i in range(0, len(own), SAMPLE_WORDS)]
+
+    sets = [samples(toxic), samples(ordinary)]
+    rng, most, trained = np.random.default_rng(42), min(sum(map(len, own)) for own in sets), []
+    for own in sets:
+        own = [own[i] for i in rng.permutation(len(own))]
+        own = own[: int(np.searchsorted(np.cumsum([len(x) for x in own]), most, "right")) + 1]
+        if len(own) < 16 or most < 16_384:
+            return None
+        trained.append(zstandard.train_dictionary(min(DICTIONARY, most // 4), own, k=SEGMENT, d=MATCH).as_bytes())
+    return trained[0], trained[1]
+
+
+def train(rows: list[tuple[str, int]], toxic_share: float) -> Model:
+    """`rows`: (text, 0 or 1) of labelled documents in a fixed order; `toxic_share`: of toxic ones among all labelled."""
+    texts = sorted({(t, y) for t, y in rows if words_of(t)})  # exact copies tell nothing new
+    order = np.random.default_rng(42).permutation(len(texts))
+    cut = len(order) * 7 // 10
+    fit, held = [texts[i] for i in order[:cut]], [texts[i] for i in order[cut:]]
+    y = np.array([label for _, label in held], float)
+    both = dictionaries([t for t, own in fit if own], [t for t, own in fit if not own]) if 0 < y.sum() < len(y) else None
+    if both is None:
+        return Model(b"", b"", (), toxic_share)
+    x, _ = features(pa.array([t for t, _ in held], pa.string()), Windows(*both))
+    weight = np.where(y == 1, SHARE / max(1, (y == 1).sum()), (1 - SHARE) / max(1, (y == 0).sum())) * len(y)
+    return Model(*both, tuple(calibrated(x, y, weight).tolist()), toxic_share)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """A model of at most 2 * `sample` documents with labels. Rows with null label or id teach nothing;
-    of several labels of one id the larger counts. Without both classes every score is the share of toxic labels."""
+    """A model of at most 2 * `sample` documents of up to SAMPLE_CHARS characters with labels.
+
+    Rows with null label or id teach nothing; of several labels of one id the larger counts, of several
+    texts of one id the smallest. Without both classes every score is the share of toxic labels.
+    """
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc_id).cast("long").alias("id")).agg(F.max(F.col(label)).cast("int").alias("y"))
     totals = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     picked = None
@@ -210,28 +192,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str =
         own = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample)
         picked = own if picked is None else picked.union(own)
     if picked is None:
-        return Model(b"", b"", 0, 1, [0.0])
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "id")  # at most 2 * sample rows
-    found = [(r.text, r.y) for r in rows.toLocalIterator()]
+        return Model(b"", b"", (), 0.0)
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
+    rows = rows.join(F.broadcast(picked), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("y").alias("y"))  # at most 2 * sample rows, folded by task
+    found = sorted((r.text, r.y) for r in rows.toLocalIterator())
     return train(found, totals.get(1, 0) / sum(totals.values()))
 
 
 def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """`docs` with `tox_windows`, `tox_score` (0 to 1) and `tox_flag` (1 from `threshold` on).
+    """`docs` with `tox_windows` (windows of the text), `tox_score` (0 to 1) and `tox_flag` (1 from `threshold` on).
 
-    Null and empty texts have no windows and the score of none. Every row is scored by itself, so null ids and
-    repeated rows are no matter. Columns of `docs` with the names of new ones are replaced.
+    Null and empty texts, and texts without words, have no windows and score 0. Every row is scored by itself,
+    so null ids and repeated rows are no matter, and a very long text costs what its different words cost.
+    Columns of `docs` with the names of new ones are replaced.
     """
     out = docs.drop("tox_windows", "tox_score", "tox_flag")
     at, width = out.columns.index(text), len(out.columns)
-    held = docs.sparkSession.sparkContext.broadcast(tuple(model[:4]) + (tuple(model.scores),))
+    held = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = kept_scorer(Model(*held.value))
         for batch in text_slices(batches):
-            hits = [scorer.hits(words_of(t)) for t in batch.column(at).to_pylist()]
-            scores = [scorer.score(h) for h in hits]
-            new = [pa.array(hits, pa.int64()), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())]
+            scores, n = scorer.scores(pc.fill_null(pc.cast(batch.column(at), pa.string()), ""))
+            new = [pa.array(n, pa.int64()), pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))]
             fields = [*(batch.schema.field(i) for i in range(width)), pa.field("tox_windows", pa.int64()), pa.field("tox_score", pa.float64()), pa.field("tox_flag", pa.int32())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema=pa.schema(fields))
 
