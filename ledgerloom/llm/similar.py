@@ -1,10 +1,15 @@
 """Near-duplicates by the similarity of word shingles, without loss.
 
 Two texts are near-duplicates if the sets of their five-word shingles have a Jaccard
-similarity of 0.8 or more. All shingles have one order, rare ones first; two sets of that
-similarity share a shingle among the first n - ceil(0.8 n) + 1 of each. So each different
-text is filed under those, texts that meet under one and whose sizes and places there
-leave room for the similarity are candidates, and every candidate is checked on its sets.
+similarity of 0.8 or more. SimHash links come first: fingerprints of the shingles within
+three bits, found by pigeonring (`simhash.links`), name pairs that are checked on their
+sets. They find most of what is linked, but not all: at a similarity of 0.8 some ten of 64
+bits differ, and no filter of fingerprints tells so many from chance.
+
+A prefix filter completes them. All shingles have one order, rare ones first; two sets of
+that similarity share a shingle among the first n - ceil(0.8 n) + 1 of each. So each
+different text is filed under those, and texts that meet under one, whose sizes and places
+there leave room for the similarity and that no link joins yet are checked too.
 
 Any order is right; rare ones first keeps common passages from gathering candidates. It
 comes from counts of hashed shingles in a table of fixed size. Where many texts meet under
@@ -19,11 +24,13 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_slices
-from .simhash import LOWER, components, one_of_each
+from .bpe import PieceMemo, different
+from .common import kept, stored, text_slices
+from .simhash import LOWER, components, links, one_of_each, with_fingerprints
 
 SHINGLE, SIMILARITY = 5, "0.8"
 #: Counters of hashed shingles, and how many a task hands on in a row.
@@ -31,6 +38,7 @@ COUNTERS, CHUNK = 1 << 20, 1 << 12
 #: Texts under one shingle that are compared in pairs at once; rounds in which one text is compared with all others of larger groups.
 PAIRED, STARS = 16, 4
 MEMO_WORDS = 500_000
+SPACES = r"[\x09-\x0D\x20]+"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -50,38 +58,48 @@ def content(text: str | None) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words(text)))).view(np.int64))
 
 
-class Hashes:
-    """Hashed shingles of texts. Equal shingles have equal hashes; unequal ones that share one only add candidates."""
-
-    def __init__(self, shingle: int):
-        self.shingle, self.memo = shingle, {}
+class WordHashes(PieceMemo):
+    """64-bit hashes of words."""
 
-    def of(self, text: str | None) -> np.ndarray:
+    def learn(self, pieces: list[str]) -> list[int]:
         import xxhash
 
-        own, memo = words(text), self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        for w in set(own).difference(memo):
-            memo[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(memo.__getitem__, own), np.uint64, len(own))
-        n = len(h) - self.shingle + 1
-        runs = [h[i : i + n] for i in range(self.shingle)] if n > 0 else [h[i : i + 1] for i in range(len(h))]
-        total = np.zeros(len(runs[0]) if runs else 0, np.uint64)
-        for run in runs:
-            total = (total ^ run) * np.uint64(0x9E3779B97F4A7C15)
-            total ^= total >> np.uint64(29)
-        return np.unique(total)
-
-
-def counters(docs: DataFrame, shingle: int) -> np.ndarray:
+        return [xxhash.xxh3_64_intdigest(p.encode("utf-8")) for p in pieces]
+
+
+def hashed(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different hashed shingles of texts: the number of the text, and the hash, sorted by both.
+
+    Equal shingles have equal hashes; unequal ones that share one only add candidates.
+    """
+    memo = kept(("words",), lambda: WordHashes(MEMO_WORDS))
+    plain = pc.utf8_trim(pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), SPACES, " "), " ")
+    codes, pieces, starts = different(pc.split_pattern(plain, " "))
+    h = np.array(memo.values(pieces), np.uint64)[codes]
+    sizes = np.diff(starts)
+    sizes[pc.equal(plain, "").to_numpy(zero_copy_only=False)] = 0
+    n = np.where(sizes >= shingle, sizes - shingle + 1, np.minimum(sizes, 1))
+    text = np.repeat(np.arange(len(n)), n)
+    at = np.repeat(starts[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    width, total = np.minimum(sizes, shingle)[text], np.zeros(len(at), np.uint64)
+    for i in range(shingle):
+        use = i < width
+        mixed = (total[use] ^ h[at[use] + i]) * np.uint64(0x9E3779B97F4A7C15)
+        total[use] = mixed ^ (mixed >> np.uint64(29))
+    order = np.lexsort((total, text))
+    text, total = text[order], total[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (total[1:] != total[:-1])
+    return text[new], total[new]
+
+
+def counters(texts: DataFrame, shingle: int) -> np.ndarray:
     """How many texts hold a shingle of each counter: 4 bytes a counter, whatever the table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = Hashes(shingle), np.zeros(COUNTERS, np.int64)
+        total = np.zeros(COUNTERS, np.int64)
         for batch in text_slices(batches):
-            for t in batch.column(0).to_pylist():
-                np.add.at(total, hashes.of(t) % np.uint64(COUNTERS), 1)
+            total += np.bincount((hashed(batch.column(0), shingle)[1] % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         parts = [total[i : i + CHUNK].tolist() for i in range(0, COUNTERS, CHUNK)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.list_(pa.int64()))], names=["chunk", "v"])
 
@@ -89,37 +107,76 @@ def counters(docs: DataFrame, shingle: int) -> np.ndarray:
         total = np.sum([x.values.to_numpy() for x in table.column("v")], axis=0)
         return pa.table([table.column("chunk").slice(0, 1), pa.array([total.tolist()], pa.list_(pa.int64()))], names=["chunk", "v"])
 
-    found = docs.select("text").mapInArrow(count, "chunk int, v array<long>").groupBy("chunk").applyInArrow(add, "chunk int, v array<long>")
+    found = texts.select("text").mapInArrow(count, "chunk int, v array<long>").groupBy("chunk").applyInArrow(add, "chunk int, v array<long>")
     total = np.zeros(COUNTERS, np.uint32)
     for r in found.toLocalIterator():  # COUNTERS / CHUNK rows
         total[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.minimum(r.v, 2**32 - 1)
     return total
 
 
-def filed(docs: DataFrame, shingle: int, level: Fraction) -> DataFrame:
+def filed(texts: DataFrame, shingle: int, level: Fraction) -> DataFrame:
     """Every text `fp` under its rarest shingles `h`: `n` its shingles, `at` the place of h among them."""
-    held = docs.sparkSession.sparkContext.broadcast(counters(docs, shingle))
+    held = texts.sparkSession.sparkContext.broadcast(counters(texts, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = Hashes(shingle), set()
-        for batch in text_slices(batches, 128):
-            found = []
-            for key, t in zip(*(c.to_pylist() for c in batch.columns)):
-                if key in seen:  # copies in other tasks are folded later
-                    continue
-                if len(seen) >= MEMO_WORDS:
-                    seen.clear()
-                seen.add(key)
-                own = hashes.of(t)
-                n = len(own)
-                most = n + int(-level * n // 1) + 1  # n - ceil(level * n) + 1
-                first = own[np.lexsort((own, held.value[own % np.uint64(COUNTERS)]))[:most]] if n else own
-                found.append((first.view(np.int64), np.full(len(first), key), np.full(len(first), n), np.arange(len(first))))
-            if found:
-                h, key, n, at = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(key, pa.int64()), pa.array(n, pa.int32()), pa.array(at, pa.int32())], names=["h", "fp", "n", "at"])
-
-    return docs.select("fp", "text").mapInArrow(run, "h long, fp long, n int, at int")
+        for batch in text_slices(batches):
+            text, h = hashed(batch.column(1), shingle)
+            n = np.bincount(text, minlength=batch.num_rows)
+            most = n - -(-n * level.numerator // level.denominator) + 1  # n - ceil(level * n) + 1
+            order = np.lexsort((h, held.value[(h % np.uint64(COUNTERS)).astype(np.int64)], text))
+            text, h = text[order], h[order]
+            at = np.arange(len(text)) - (np.cumsum(n) - n)[text]
+            first = at < most[text]
+            text, h, at = text[first], h[first], at[first]
+            fp = batch.column(0).to_numpy(zero_copy_only=False)[text]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(fp), pa.array(n[text], pa.int32()), pa.array(at, pa.int32())], names=["h", "fp", "n", "at"])
+
+    return texts.select("fp", "text").mapInArrow(run, "h long, fp long, n int, at int")
+
+
+def meetings(rows: DataFrame, level: Fraction) -> DataFrame:
+    """`a`, `b`: pairs of texts that meet under a shingle and may be similar; where over `PAIRED` meet, only `h`, with nulls."""
+    p, q = level.numerator, level.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, last = [], 0, None  # the group of shingle `last`: its first rows, and how many there are
+        out: list[tuple] = []
+
+        def close() -> None:
+            if size > PAIRED:
+                out.append((last, None, None))
+                return
+            for i, (a, n, at) in enumerate(held):
+                for b, m, bt in held[:i]:
+                    if a != b and min(n, m) * q >= max(n, m) * p and min(n - at, m - bt) * (p + q) >= (n + m) * p:
+                        out.append((None, min(a, b), max(a, b)))
+
+        def handed() -> pa.RecordBatch:
+            columns = [pa.array(x, pa.int64()) for x in (zip(*dict.fromkeys(out)) if out else ((), (), ()))]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["h", "a", "b"])
+
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            h = columns[0]
+            edges = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1], [True]))) if len(h) else np.zeros(1, np.int64)
+            several = np.diff(edges) > 1
+            several[:1] = several[-1:] = True  # the first and the last may go on in other batches
+            for a, b in zip(edges[:-1][several].tolist(), edges[1:][several].tolist()):
+                if h[a] != last:
+                    if size > 1:
+                        close()
+                    held, size, last = [], 0, int(h[a])
+                if b - a > 1 or size or b == len(h):
+                    held += list(zip(*(c[a : min(b, a + PAIRED)].tolist() for c in columns[1:])))[: PAIRED - len(held)]
+                size += b - a
+            if len(out) > 10_000:
+                yield handed()
+        if size > 1:
+            close()
+        yield handed()
+
+    return rows.select("h", "fp", "n", "at").repartition("h").sortWithinPartitions("h", "fp").mapInArrow(run, "h long, a long, b long")
 
 
 def checked(pairs: DataFrame, texts: DataFrame, shingle: int, level: Fraction) -> DataFrame:
@@ -137,23 +194,44 @@ def checked(pairs: DataFrame, texts: DataFrame, shingle: int, level: Fraction) -
                 keep.append(both >= level * (len(own) + len(other) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    of = lambda c: texts.select(F.col("fp").alias(c), F.col("text").alias(f"{c}_text"))
+    needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    own = stored(texts.join(needed, "fp", "left_semi"), "similar-needed")
+    of = lambda c: own.select(F.col("fp").alias(c), F.col("text").alias(f"{c}_text"))
     return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
 
-def similar_links(docs: DataFrame, shingle: int = SHINGLE, similarity: str = SIMILARITY) -> DataFrame:
-    """`a`, `b`: links whose components are those of all links between the different texts of `docs` (`fp`, `text`)."""
+def fingerprint_pairs(texts: DataFrame, shingle: int) -> DataFrame:
+    """`a`, `b`: texts of one fingerprint, each with the smallest, and the smallest of linked fingerprints."""
+    rows = stored(with_fingerprints(texts.select(F.col("fp").alias("id"), "text"), shingle), "similar-fingerprints")
+    low = stored(rows.groupBy("fp").agg(F.min("id").alias("low")), "similar-lows")
+    same = rows.join(low, "fp").where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
+    of = lambda c: low.select(F.col("fp").alias(c), F.col("low").alias(f"{c}_low"))
+    near = links(low.select("fp")).join(of("a"), "a").join(of("b"), "b").select(F.least("a_low", "b_low").alias("a"), F.greatest("a_low", "b_low").alias("b"))
+    return same.union(near).distinct()
+
+
+def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: str = SIMILARITY) -> DataFrame:
+    """`a`, `b`: links whose components are those of all links between the different `texts` (`fp`, `text`)."""
     level = Fraction(similarity)
     p, q = level.numerator, level.denominator
-    every = stored(filed(docs, shingle, level), "similar-shingles")
-    shared = every.groupBy("h").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high").select("h")
-    left = stored(every.join(shared, "h").distinct().withColumn("root", F.col("fp")), "similar-shared")
-    # Copies are folded before the join, so that they gather nowhere.
-    texts = stored(docs.groupBy("fp").agg(F.min("text").alias("text")).join(left.select("fp").distinct(), "fp", "left_semi"), "similar-texts")
+    found = stored(checked(stored(fingerprint_pairs(texts, shingle), "similar-pairs"), texts, shingle, level), "similar-links")
+    roots = stored(components(found), "similar-roots")
+    every = stored(filed(texts, shingle, level), "similar-shingles")
+    met = stored(meetings(every, level), "similar-met")
+    of = lambda c: roots.select(F.col("fp").alias(c), F.col("root").alias(f"{c}_root"))
+    pairs = met.where("h IS NULL").select("a", "b").distinct().join(of("a"), "a", "left").join(of("b"), "b", "left")
+    pairs = pairs.where("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b")
+    new = stored(checked(stored(pairs, "similar-pairs"), texts, shingle, level), "similar-links")
+    found = found.union(new)
+    hot = met.where("h IS NOT NULL").select("h").distinct()
+    if hot.isEmpty():
+        return found
+    left = every.join(hot, "h", "left_semi")
     # At the first shingle that two sets share, what follows is all they can share besides it.
     room = f"least(a.n, b.n) * {q}L >= greatest(a.n, b.n) * {p}L AND least(a.n - a.at, b.n - b.at) * {p + q}L >= (a.n + b.n) * {p}L"
-    found = None
     for star in range(STARS + 1):
+        roots = components(found)
+        left = stored(left.select("h", "fp", "n", "at").join(roots, "fp", "left").select("h", "fp", "n", "at", F.coalesce("root", "fp").alias("root")), "similar-left")
         groups = left.groupBy("h").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64(F.lit(star), "fp").alias("o"), "fp", "n", "at", "root")).alias("pivot"))
         groups = stored(groups.where("low < high").select("h", "m", "pivot.*"), "similar-groups")
         few = groups.where(F.col("m") <= PAIRED) if star < STARS else groups
@@ -164,12 +242,10 @@ def similar_links(docs: DataFrame, shingle: int = SHINGLE, similarity: str = SIM
             around = many.alias("a").join(left.alias("b"), "h").where(f"a.fp <> b.fp AND a.root <> b.root AND {room}")
             pairs = pairs.union(around.select(F.least("a.fp", "b.fp").alias("a"), F.greatest("a.fp", "b.fp").alias("b")))
         new = stored(checked(stored(pairs.distinct(), "similar-pairs"), texts, shingle, level), "similar-links")
-        found = new if found is None else found.union(new)
+        found = found.union(new)
         if star == STARS or many.isEmpty():
             return found
-        roots = components(found)
-        rest = left.join(many.select("h", F.col("fp").alias("pivot")), "h").where("fp <> pivot").select("h", "fp", "n", "at")
-        left = stored(rest.join(roots, "fp", "left").select("h", "fp", "n", "at", F.coalesce("root", "fp").alias("root")), "similar-shared")
+        left = left.join(many.select("h", F.col("fp").alias("pivot")), "h").where("fp <> pivot")
 
 
 def with_content(rows: DataFrame) -> DataFrame:
@@ -188,7 +264,8 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: str = SIMIL
     """One row of each component of near-duplicates, as simhash.deduplicate chooses it."""
 
     def links(_: DataFrame) -> DataFrame:
-        own = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
-        return similar_links(with_content(own.select(F.col("text").alias("own"), "text")).select("fp", F.col("own").alias("text")), shingle, similarity)
+        own = docs.select(F.col(f"`{text}`").cast("string").alias("own"), F.col(f"`{text}`").cast("string").alias("text"))
+        texts = stored(with_content(own).groupBy("fp").agg(F.min("own").alias("text")), "similar-texts")
+        return similar_links(texts, shingle, similarity)
 
     return one_of_each(docs, with_content, links, doc_id, text)

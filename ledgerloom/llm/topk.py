@@ -5,10 +5,12 @@ of what the mean leaves). For two vectors the squared distance is at least the s
 segments of w (difference of means)^2 + (difference of deviations)^2, so with the norms
 of both the inner product is at most the sum of w mean mean' + dev dev'. Segments are
 tried coarse to fine; a candidate that can't reach the query's k-th best score so far is
-out, and only survivors get their exact product. The bound leaves room for rounding.
+out, and only survivors get their exact product. The bound leaves room for rounding. The
+k-th score starts from a bounded number of candidates of the largest norms.
 
-Queries reach the tasks in blocks of a fixed size; every task passes over its candidates
-once a block and returns at most k rows a query.
+Queries reach the tasks in blocks of a fixed size, one after another: each is broadcast, every
+task passes over its candidates once and returns at most k rows a query, the result is
+written, and the broadcast is freed before the next.
 """
 
 from __future__ import annotations
@@ -26,9 +28,13 @@ K = 10
 SCALE = 1024
 #: Queries in a block: 4096 vectors of 1024 doubles are 32 MB.
 BLOCK = 4096
-#: Candidates compared at once, and segments at each level.
+#: Candidates compared at once, and components of a segment at each level.
 STEP = 2048
-LEVELS = (4, 16)
+LEVELS = (16, 4, 2)
+#: Candidates of the largest norms from which the k-th scores start.
+SEEDS = 1024
+#: Whole numbers up to this are exact as doubles.
+EXACT = 2.0**53
 
 
 def scaled(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -42,45 +48,56 @@ def odd_safe(odd):
     return F.coalesce(odd, F.lit(True))
 
 
-def summary(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
-    """Means times the root of the width, and deviations, of each segment of the rows of `x`."""
-    means, devs = [], []
-    for part in np.array_split(x, min(segments, x.shape[1]), axis=1):
-        m = part.mean(axis=1)
-        means.append(m * np.sqrt(part.shape[1]))
-        devs.append(np.sqrt(np.maximum(0.0, ((part - m[:, None]) ** 2).sum(axis=1))))
-    return np.array(means).T, np.array(devs).T
+def summary(x: np.ndarray, width: int) -> np.ndarray:
+    """Means times the root of the width, and deviations, of segments of `width` components of the rows of `x`."""
+    edges = np.arange(0, x.shape[1], width)
+    n = np.diff(np.append(edges, x.shape[1]))
+    means = np.add.reduceat(x, edges, axis=1) / n
+    apart = x - np.repeat(means, n, axis=1)
+    return np.hstack((means * np.sqrt(n), np.sqrt(np.add.reduceat(apart * apart, edges, axis=1))))
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Integer inner products of the rows of `a` and `b`. Vectors whose products may be too large to be exact as doubles are an error."""
+    if len(a) and (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)).max() >= EXACT:
+        raise OverflowError("inner products beyond 2**53 are not exact here: scale the vectors down")
+    return np.einsum("ij,ij->i", a, b)
 
 
 class Block:
     """Queries of one dimension and their best candidates so far."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.ids, self.vectors, self.k = ids, vectors, k
-        self.levels = [np.column_stack(summary(vectors, s)) for s in LEVELS]
+        self.levels = [summary(vectors, w) for w in LEVELS]
+        self.floor = np.full(len(ids), -np.inf) if floor is None else floor
         self.scores = np.full((len(ids), k), -np.inf)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.pairs, self.survived = 0, [0] * len(LEVELS)
 
     def offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         for at in range(0, len(ids), STEP):
             own, x = ids[at : at + STEP], vectors[at : at + STEP]
-            worst = self.scores[:, -1]
+            worst = np.maximum(self.scores[:, -1], self.floor)
+            self.pairs += len(self.ids) * len(own)
             alive = None
-            for segments, queries in zip(LEVELS, self.levels):
-                bound = np.column_stack(summary(x, segments))
+            for i, (width, queries) in enumerate(zip(LEVELS, self.levels)):
+                bound = summary(x, width)
                 if alive is None:
                     most = queries @ bound.T
                     alive = np.argwhere(most + 1e-6 * np.abs(most) + 1 >= worst[:, None])
+                elif 4 * len(alive) > len(self.ids) * len(own):  # one product of the summaries beats gathering them by pairs
+                    most = (queries @ bound.T)[alive[:, 0], alive[:, 1]]
+                    alive = alive[most + 1e-6 * np.abs(most) + 1 >= worst[alive[:, 0]]]
                 else:
                     most = np.einsum("ij,ij->i", queries[alive[:, 0]], bound[alive[:, 1]])
                     alive = alive[most + 1e-6 * np.abs(most) + 1 >= worst[alive[:, 0]]]
+                self.survived[i] += len(alive)
             alive = alive[self.ids[alive[:, 0]] != own[alive[:, 1]]]
-            if len(alive) * 4 > self.vectors.shape[0] * len(own):  # most survive: one product of all is the same work
-                exact = (self.vectors @ x.T)[alive[:, 0], alive[:, 1]]
-            else:
-                exact = np.einsum("ij,ij->i", self.vectors[alive[:, 0]], x[alive[:, 1]])
-            hit = exact >= worst[alive[:, 0]]
-            self.keep(alive[hit, 0], own[alive[hit, 1]], exact[hit])
+            for part in np.array_split(alive, 1 + len(alive) // 65_536):
+                exact = products(self.vectors[part[:, 0]], x[part[:, 1]])
+                hit = exact >= np.maximum(self.scores[part[:, 0], -1], self.floor[part[:, 0]])
+                self.keep(part[hit, 0], own[part[hit, 1]], exact[hit])
 
     def keep(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         if not len(query):
@@ -96,20 +113,42 @@ class Block:
         self.scores[changed], self.found[changed] = s[take], i[take]
 
 
+def by_size(rows: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of the rows (`vec_id`, `v`) of each dimension but 0."""
+    sizes: dict[int, list] = {}
+    for r in rows:
+        if r.v:
+            sizes.setdefault(len(r.v), []).append(r)
+    return {d: (np.array([r.vec_id for r in own]), np.array([r.v for r in own], np.float64)) for d, own in sizes.items()}
+
+
+def floors(ids: np.ndarray, vectors: np.ndarray, seeds: tuple[np.ndarray, np.ndarray] | None, k: int) -> np.ndarray:
+    """Scores that the k-th best of each query reaches at least: its k-th among the seeds."""
+    if seeds is None or len(seeds[0]) < k:
+        return np.full(len(ids), -np.inf)
+    scores = np.where(ids[:, None] == seeds[0], -np.inf, vectors @ seeds[1].T)
+    return np.partition(scores, -k, axis=1)[:, -k]
+
+
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
     """`query_id`, `rank` (from 1), `vec_id`, `score`: each query's `k` highest integer inner products, ties to smaller ids.
 
     Both inputs hold `vec_id` and `v` as `scaled` makes them. A query meets every row with another id (rows that
     repeat its id are its own), of the same length; repeated candidate rows count each; of repeated query rows
-    one counts. Fewer than `k` candidates give fewer rows, none give none.
+    the one with the smallest vector counts. Fewer than `k` candidates give fewer rows, none give none. Inner
+    products that may pass 2**53 are an error.
     """
     spark = candidates.sparkSession
-    found = None
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = stored(asked, "topk-queries")
+    n_blocks = -(-asked.count() // block)
+    empty = candidates.limit(0).selectExpr("vec_id AS query_id", "vec_id", "CAST(0 AS BIGINT) AS score")
+    norm = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
+    seeds = by_size(candidates.orderBy(norm.desc(), "vec_id").limit(SEEDS).collect()) if n_blocks else {}
 
     def search(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            blocks = {d: Block(ids, vectors, k) for d, (ids, vectors) in held.value.items()}
+            blocks = {d: Block(ids, vectors, k, floor) for d, (ids, vectors, floor) in held.value.items()}
             for batch in batches:
                 ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
                 sizes = np.diff(lists.offsets.to_numpy())
@@ -122,26 +161,14 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, block: int = BL
 
         return run
 
-    rows, part = [], []
-
-    def flush(part: list) -> DataFrame:
-        by_size: dict[int, list] = {}
-        for r in part:
-            if r.v:
-                by_size.setdefault(len(r.v), []).append(r)
-        held = spark.sparkContext.broadcast({d: (np.array([r.vec_id for r in own]), np.array([r.v for r in own], np.float64)) for d, own in by_size.items()})
-        return candidates.select("vec_id", "v").mapInArrow(search(held), "query_id long, vec_id long, score long")
-
-    for r in asked.toLocalIterator():
-        part.append(r)
-        if len(part) == block:
-            rows, part = [*rows, flush(part)], []
-    if part:
-        rows.append(flush(part))
-    for r in rows:
-        found = r if found is None else found.union(r)
-    if found is None:
-        return candidates.limit(0).selectExpr("vec_id AS query_id", "CAST(0 AS INT) AS rank", "vec_id", "CAST(0 AS BIGINT) AS score")
+    found = empty
+    # Blocks by the place of the id among all ids would need a sort; a hash deals them out just as well, in parts a little uneven.
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, n_blocks)))
+    for i in range(n_blocks):
+        own = by_size(asked.where(part == i).collect())
+        held = spark.sparkContext.broadcast({d: (ids, v, floors(ids, v, seeds.get(d), k)) for d, (ids, v) in own.items()})
+        found = found.union(stored(candidates.select("vec_id", "v").mapInArrow(search(held), "query_id long, vec_id long, score long"), "topk-found"))
+        held.unpersist()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from conftest import LARGE, SMALL
 from ledgerloom.llm import mixing, simhash, topk
 from ledgerloom.llm.common import load
 from test_text_operators import DOCS, LONG, contamination_of
@@ -37,6 +37,28 @@ def test_top_k_of_few(spark):
     assert topk.top_k(df.limit(0), df).count() == 0 and topk.top_k(df, df.limit(0)).count() == 0
 
 
+def test_top_k_with_repeated_ids(spark):
+    """Rows that repeat a candidate's id count each; ties go to smaller ids; a query's own id never answers."""
+    rows = [(0, [1.0, 1.0]), (0, [2.0, 2.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    found = topk.top_k(df.where("vec_id = 0"), df, k=3)
+    assert sorted((r.rank, r.vec_id, r.score) for r in found.collect()) == [(1, 1, 1), (2, 1, 1), (3, 2, 1)]
+    with pytest.raises(Exception, match="2\\*\\*53"):
+        topk.top_k(df.where("vec_id = 0"), df.withColumn("v", F.transform("v", lambda x: x * 1e9 * 1e9))).collect()
+
+
+def test_bounds_leave_few_pairs(spark):
+    """On the given vectors, which spread evenly over a sphere, only the finest level tells much."""
+    rows = topk.scaled(load(spark, LARGE, "embeddings"), "vec_id", "embedding").collect()
+    [(d, (ids, vectors))] = topk.by_size(rows).items()
+    asked = ids % 100 == 0
+    seeds = np.argsort(-np.linalg.norm(vectors, axis=1), kind="stable")[: topk.SEEDS]
+    block = topk.Block(ids[asked], vectors[asked], 10, topk.floors(ids[asked], vectors[asked], (ids[seeds], vectors[seeds]), 10))
+    block.offer(ids, vectors)
+    shares = [n / block.pairs for n in block.survived]
+    assert shares == sorted(shares, reverse=True) and shares[-1] <= 0.65, shares
+
+
 def brute_components(fps):
     label = {f: f for f in fps}
 
