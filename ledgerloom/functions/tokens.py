@@ -40,13 +40,13 @@ def text_of_bytes(c: Column) -> Column:
 
 
 def source_record_token(c: Column, kind: T.DataType) -> Column:
-    """F1. The key text that lineage stores, at most 100 characters long."""
+    """F1. The key text that lineage stores, at most 100 characters long (`fitted`)."""
     if isinstance(kind, T.BinaryType):
         text = strip(text_of_bytes(c))
     elif isinstance(kind, TEMPORAL):
         text = F.date_format(c, MILLIS)
     elif isinstance(kind, T.DecimalType):
-        text = float_text(c.cast("double"))
+        text = decimal_text(c, kind)
     elif isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
         text = strip(c)
         text = F.when(text.rlike(UUID), F.upper(text)).otherwise(text)
@@ -54,18 +54,37 @@ def source_record_token(c: Column, kind: T.DataType) -> Column:
         text = float_text(c.cast("double"))
     else:
         text = c.cast("string")
-    return F.substring(text, 1, RECORD_ID_WIDTH)
+    return fitted(text)
+
+
+def fitted(text: Column) -> Column:
+    """Key text in at most 100 characters. Of a longer one the first 67, `#` and 32 digits of its SHA-256 stay, so that keys which differ later remain apart."""
+    return F.when(F.length(text) <= RECORD_ID_WIDTH, text).otherwise(F.concat(F.substring(text, 1, RECORD_ID_WIDTH - 33), F.lit("#"), F.substring(F.sha2(text.cast("binary"), 256), 1, 32)))
+
+
+def decimal_text(c: Column, kind: T.DecimalType) -> Column:
+    """Decimals as Python prints the float: `5.0`. Short ones need no Python: 15 digits are exact, and none is under 0.0001."""
+    if kind.precision > 15 or kind.scale > 4:
+        return float_text(c.cast("double"))
+    plain = c.cast("string")
+    if kind.scale == 0:
+        return F.concat(plain, F.lit(".0"))
+    return F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", ".0")
 
 
 def key_token(c: Column, kind: T.DataType) -> Column:
-    """F2. The form in which keys of text and temporal columns compare: no zero fraction, `T` or final `Z`.
+    """F2. The form in which keys of text and temporal columns compare: no outer white space, zero fraction, `T` or final `Z`; decimals as float text.
 
     Only text that looks like a timestamp is rewritten.
     """
     if isinstance(kind, TEMPORAL):
         text = F.date_format(c, MICROS)
+    elif isinstance(kind, T.DecimalType):
+        return decimal_text(c, kind)
     else:
         text = c.cast("string")
+        if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+            text = strip(text)
         if not isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
             return text
     plain = F.regexp_replace(F.regexp_replace(text, "T", " "), "Z$", "")
@@ -92,10 +111,10 @@ def epoch_ms_text(c: Column) -> Column:
 
 
 def legacy_label(c: Column, kind: T.DataType, declared: str = "datetime2") -> Column:
-    """F6. The text that a back-fill stores: 23 characters of a timestamp, else spaces trimmed and 100 characters."""
+    """F6. The text that a back-fill stores: 23 characters of a timestamp, else spaces trimmed, in 100 characters (`fitted`)."""
     if isinstance(kind, TEMPORAL):
         return F.substring(F.date_format(c, MILLIS if declared == "datetime" else MICROS), 1, 23)
-    return F.substring(F.trim(c.cast("string")), 1, RECORD_ID_WIDTH)
+    return fitted(F.trim(c.cast("string")))
 
 
 def clean_text(c: Column) -> Column:

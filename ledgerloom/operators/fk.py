@@ -54,25 +54,33 @@ def _split(child: DataFrame, columns: list[str], n: int) -> tuple[DataFrame, Dat
     return child.where(~late).select(*columns), child.where(late).select(*columns)
 
 
-def with_remapped(child: DataFrame, parents: dict[str, DataFrame], links: list[Link], source_id: str) -> DataFrame:
-    """`child` with foreign keys in the target's ids and `_late_i` for every link i whose parent is unknown."""
+def with_remapped(child: DataFrame, parents: dict[str, DataFrame], links: list[Link], source_id: str, adopt_legacy: bool = False) -> DataFrame:
+    """`child` with foreign keys in the target's ids and `_late_i` for every link i whose parent is unknown.
+
+    Each token stands for one parent, the smallest id if lineage is not unique, so that no child row multiplies.
+    With `adopt_legacy` an unlabelled parent stands for its own key, unless a labelled one has that record id.
+    """
     out = child
     for i, link in enumerate(links):
-        parent = parents[link.parent_table].where((F.col("sync_source_id") == source_id) & F.col("source_record_id").isNotNull())
-        ids = parent.select(F.col("source_record_id").alias(f"_token_{i}"), F.col(link.parent_col).alias(f"_id_{i}"))
+        parent, key = parents[link.parent_table], F.col(link.parent_col)
+        named = parent.where((F.col("sync_source_id") == source_id) & F.col("source_record_id").isNotNull()).select(F.col("source_record_id").alias(f"_token_{i}"), F.struct(F.lit(0).alias("rank"), key.alias("id")).alias("best"))
+        if adopt_legacy:
+            own = tokens.source_record_token(key, parent.schema[link.parent_col].dataType)
+            named = named.union(parent.where(F.col("sync_source_id").isNull() & key.isNotNull()).select(own, F.struct(F.lit(1).alias("rank"), key.alias("id"))))
+        ids = named.groupBy(f"_token_{i}").agg(F.min("best").alias("best")).select(f"_token_{i}", F.col("best.id").alias(f"_id_{i}"))
         out = out.withColumn(f"_fk_{i}", tokens.source_record_token(F.col(link.child_col), child.schema[link.child_col].dataType))
         out = _resolved(out, link, ids, i, rewrite=True)
     return out
 
 
-def remap_fks(child: DataFrame, parents: dict[str, DataFrame], links: list[Link], source_id: str) -> tuple[DataFrame, DataFrame]:
+def remap_fks(child: DataFrame, parents: dict[str, DataFrame], links: list[Link], source_id: str, adopt_legacy: bool = False) -> tuple[DataFrame, DataFrame]:
     """J5. (ready, deferred): foreign keys replaced by the target ids of the parents known by (source, record id).
 
     A null key passes. Every link has a join of its own, so two links to one parent don't mix; all must resolve.
     Deferred rows keep the keys they came with.
     """
     marked = child.withColumns({f"_was_{i}": F.col(link.child_col) for i, link in enumerate(links)})
-    ready, late = _split(with_remapped(marked, parents, links, source_id), marked.columns, len(links))
+    ready, late = _split(with_remapped(marked, parents, links, source_id, adopt_legacy), marked.columns, len(links))
     back = late.withColumns({link.child_col: F.col(f"_was_{i}") for i, link in enumerate(links)})
     return ready.select(*child.columns), back.select(*child.columns)
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sources.folders import stored
+
 #: Column names that serve as a key where a table declares none.
 FALLBACK_NAMES = ("id", "idx")
 
@@ -72,11 +74,11 @@ def add_dense_id(df: DataFrame, order: list[str], name: str, start: int | Column
     """H1. Ids `start`, `start` + 1, ... in a total order, without moving all rows to one task.
 
     Rows are dealt by ranges of the order and sorted within each; ids are the rows of earlier ranges plus the
-    place in the own one. Ranges come from a sample, so the dealt rows are kept for both passes.
+    place in the own one. Ranges come from a sample, so the dealt rows are written once, for both passes.
     """
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mono", F.monotonically_increasing_id())
     dealt = dealt.withColumns({"_part": F.shiftright("_mono", 33), "_place": F.col("_mono").bitwiseAND((1 << 33) - 1)}).drop("_mono")
-    dealt = dealt.persist()
+    dealt = stored(dealt, "dense-ids")
     counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a task, not a row a row
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

@@ -1,9 +1,9 @@
 """Applying changes to a target: by full key, by lineage, or only what is absent.
 
 Parquet has no MERGE; a merge is the next state of the target as a DataFrame. With few
-changes the target is not shuffled: the changed keys are broadcast, if a count shows
-that they are few, and the rest of the target passes by. Else both sides are joined by
-a shuffle on the key.
+changes the target is not shuffled: the changes are broadcast, if a count shows that they
+are few, to the target's rows, and once more to its keys, to find those without a match.
+Else both sides are joined by a shuffle on the key.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def drop_managed(df: DataFrame, computed: tuple[str, ...] = (), identity: tuple[
     return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in gone))
 
 
-def _merged(target: DataFrame, changes: DataFrame, on: Column, update: list[str], changed: DataFrame, few: bool) -> DataFrame:
+def _merged(target: DataFrame, keys: list[str], on: Column, update: list[str], changed: DataFrame, few: bool) -> DataFrame:
     """Target rows with the columns `update` of a matching change, and changes without a match; `_action` is U, I or null."""
     incoming = changed.withColumn("_hit", F.lit(True))
     names = target.columns
@@ -44,7 +44,9 @@ def _merged(target: DataFrame, changes: DataFrame, on: Column, update: list[str]
     here = target.withColumn("_here", F.lit(True))
     if few:
         kept = here.join(F.broadcast(incoming), on, "left")
-        new = incoming.join(target, on, "left_anti").withColumns({"_here": F.lit(None).cast("boolean"), **{c: F.lit(None).cast(target.schema[c].dataType) for c in names}})
+        # The keys that a change has matched are no more than there are changes.
+        matched = target.select(*keys).join(F.broadcast(changed), on, "left_semi").distinct()
+        new = incoming.join(F.broadcast(matched), on, "left_anti").withColumns({"_here": F.lit(None).cast("boolean"), **{c: F.lit(None).cast(target.schema[c].dataType) for c in names}})
         both = kept.unionByName(new)
     else:
         both = here.join(incoming, on, "full_outer")
@@ -78,7 +80,7 @@ def merge_upsert(target: DataFrame, changes: DataFrame, keys: list[str], identit
         for a, b in pairs:
             on = on & a.eqNullSafe(b)
     update = [c for c in changes.columns if c not in keys and c not in identity]
-    return _merged(target, changes, on, update, changed, changes_count is not None and changes_count <= BROADCAST_ROWS)
+    return _merged(target, keys, on, update, changed, changes_count is not None and changes_count <= BROADCAST_ROWS)
 
 
 def merge_by_lineage(target: DataFrame, changes: DataFrame, source_id: str, key: str, identity: tuple[str, ...] = (), preserve_pk: bool = False, changes_count: int | None = None) -> DataFrame:
@@ -94,7 +96,7 @@ def merge_by_lineage(target: DataFrame, changes: DataFrame, source_id: str, key:
     named, nameless = changes.where(F.col("source_record_id").isNotNull()), changes.where(F.col("source_record_id").isNull())
     changed = _prefixed(named)
     on = (target["sync_source_id"] == changed["_c_sync_source_id"]) & (target["source_record_id"] == changed["_c_source_record_id"])
-    merged = _merged(target, named, on, update, changed, changes_count is not None and changes_count <= BROADCAST_ROWS)
+    merged = _merged(target, list(LINEAGE), on, update, changed, changes_count is not None and changes_count <= BROADCAST_ROWS)
     new = nameless.select(*(F.col(c).cast(target.schema[c].dataType).alias(c) if c in changes.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns), F.lit("I").alias("_action"))
     return merged.unionByName(new)
 

@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import changelog, diff, keys, lineage, merge
 
 
-def apply_changes(log: DataFrame, source: DataFrame, target: DataFrame, table: str, key: str, order: list[str], changes_count: int | None = None) -> DataFrame:
-    """The target after the pending changes of one table: coalesce, fetch current rows, deduplicate, upsert."""
+def apply_changes(log: DataFrame, source: DataFrame, target: DataFrame, table: str, key: str, order: list[str]) -> DataFrame:
+    """The target after the pending changes of one table: coalesce, count, fetch current rows, deduplicate, upsert.
+
+    `order` says which of several source rows with one key counts; the other columns break its ties.
+    """
     items = changelog.work_items(log.where(F.col("table_name") == table))
-    current = merge.fetch_changed(source, items, key, changes_count)
-    once = keys.dedup_by_key(current, [key], order)
-    return merge.merge_upsert(target, once, [key], changes_count=changes_count)
+    n = items.count()
+    current = merge.fetch_changed(source, items, key, n)
+    once = keys.dedup_by_key(current, [key], [*order, *(c for c in current.columns if c not in order)])
+    return merge.merge_upsert(target, once, [key], changes_count=n)
 
 
 def sync_missing(source: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -119,27 +119,54 @@ STREAM_CTES = """, pend AS (SELECT DISTINCT table_name, CAST(pk_value AS BIGINT)
     ready AS (SELECT o.* FROM orders o JOIN pend ON table_name = 'orders' AND k = o_orderkey WHERE o_custkey IN (SELECT c_custkey FROM cust))"""
 
 
-def run_orders_stream(spark, sf) -> tuple[str, int]:
+def run_orders_stream(spark, sf) -> str:
     root = new_folder(spark, "targets")
-    streaming.start_versions(spark, {"orders": fixture(spark, sf, "tgt_orders"), "customer": load(spark, sf, "customer").where("c_custkey % 5 <> 0")}, root)
     jobs = [streaming.Table("orders", lambda s: load(s, sf, "orders"), "o_orderkey", (fk.Link("o_custkey", "customer", "c_custkey"),)), streaming.Table("customer", lambda s: load(s, sf, "customer"), "c_custkey")]
-    return root, streaming.run_stream(spark, written_log(spark, sf, 3), jobs, root)
+    streaming.start_versions(spark, {"orders": fixture(spark, sf, "tgt_orders"), "customer": load(spark, sf, "customer").where("c_custkey % 5 <> 0")}, root, jobs)
+    streaming.run_stream(spark, written_log(spark, sf, 3), jobs, root)
+    return root
 
 
 @register("st1_streaming_apply", "audit_log tgt_orders", STREAM_CTES + f" SELECT {ORDER_COLUMNS} FROM ready UNION ALL SELECT {ORDER_COLUMNS} FROM tgt_orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ready)")
 def st1(spark, sf):
-    root, last = run_orders_stream(spark, sf)
-    return spark.read.parquet(streaming.version_path(root, "orders", last))
+    return streaming.read_target(spark, run_orders_stream(spark, sf), "orders")
+
+
+LATE = "SELECT DISTINCT 'orders' AS table_name, CAST(o_orderkey AS VARCHAR) AS pk_value, 'pending' AS status FROM orders JOIN pend ON table_name = 'orders' AND k = o_orderkey WHERE o_custkey NOT IN (SELECT c_custkey FROM cust)"
+
+
+@register("st2_deferred_state", "audit_log", STREAM_CTES + " " + LATE)
+def st2(spark, sf):
+    return streaming.read_deferred(spark, run_orders_stream(spark, sf)).select("table_name", "pk_value", "status")
+
+
+@register("st1_lineage_apply", "audit_log", STREAM_CTES + " SELECT CAST(o_orderkey AS VARCHAR) AS source_record_id, CAST(o_custkey AS VARCHAR) AS customer_record, o_totalprice, true AS own_key FROM ready")
+def st1_lineage(spark, sf):
+    """The stream in the mode of several sources: stamped, foreign keys remapped, merged by lineage, keys of the target."""
+    root = new_folder(spark, "targets")
+    customers = fixture(spark, sf, "tgt_customer")
+    orders = lineage.stamp_lineage(load(spark, sf, "orders"), "A", "o_orderkey").limit(0)
+    jobs = [
+        streaming.Table("orders", lambda s: load(s, sf, "orders"), "o_orderkey", (fk.Link("o_custkey", "customer", "c_custkey"),), source_id="A"),
+        streaming.Table("customer", lambda s: load(s, sf, "customer"), "c_custkey", source_id="A"),
+    ]
+    streaming.start_versions(spark, {"orders": orders, "customer": customers}, root, jobs)
+    streaming.run_stream(spark, written_log(spark, sf, 3), jobs, root)
+    parents = streaming.read_target(spark, root, "customer").select("c_custkey", F.col("source_record_id").alias("customer_record"))
+    found = streaming.read_target(spark, root, "orders").join(parents, F.col("o_custkey") == F.col("c_custkey"))
+    return found.select("source_record_id", "customer_record", "o_totalprice", F.col("o_orderkey").isNotNull().alias("own_key"))
 
 
 @register(
-    "st2_deferred_state",
+    "st3_marked_log",
     "audit_log",
-    STREAM_CTES + " SELECT DISTINCT 'orders' AS table_name, CAST(o_orderkey AS VARCHAR) AS pk_value, 'pending' AS status FROM orders JOIN pend ON table_name = 'orders' AND k = o_orderkey WHERE o_custkey NOT IN (SELECT c_custkey FROM cust)",
+    STREAM_CTES
+    + f""", late AS ({LATE}) SELECT log_id, a.table_name, a.pk_value, CASE WHEN a.status = 'pending' AND (a.table_name LIKE 'sys%' OR (a.table_name IN ('orders', 'customer') AND late.pk_value IS NULL)) THEN 'processed' ELSE a.status END AS status
+    FROM audit_log a LEFT JOIN late ON late.table_name = a.table_name AND late.pk_value = a.pk_value""",
 )
-def st2(spark, sf):
-    root, last = run_orders_stream(spark, sf)
-    return spark.read.schema(streaming.DEFERRED_SCHEMA).parquet(streaming.version_path(root, "deferred", last)).select("table_name", "pk_value", "status")
+def st3(spark, sf):
+    log = fixture(spark, sf, "audit_log").withColumn("retry_count", F.lit(0))
+    return streaming.marked_log(spark, run_orders_stream(spark, sf), log, NOW, "A").select("log_id", "table_name", "pk_value", "status")
 
 
 # Projections and filters.
@@ -242,6 +269,18 @@ def j5(spark, sf):
     return both.select("o_orderkey", "o_custkey", "deferred")
 
 
+@register(
+    "j12_legacy_parents",
+    "orders_null_fk legacy_customer",
+    "SELECT o_orderkey, o_custkey, o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM legacy_customer) AS deferred FROM orders_null_fk",
+)
+def j12_parents(spark, sf):
+    """Unlabelled parents stand for their own keys; every parent is given twice, which must not multiply its children."""
+    parents = fixture(spark, sf, "legacy_customer")
+    ready, late = fk.remap_fks(fixture(spark, sf, "orders_null_fk"), {"customer": parents.union(parents)}, [fk.Link("o_custkey", "customer", "c_custkey")], "A", adopt_legacy=True)
+    return ready.withColumn("deferred", F.lit(False)).unionByName(late.withColumn("deferred", F.lit(True))).select("o_orderkey", "o_custkey", "deferred")
+
+
 @register("j6_split_by_parent", "orders_null_fk legacy_customer", "SELECT o_orderkey, o_custkey, o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM legacy_customer) AS deferred FROM orders_null_fk")
 def j6(spark, sf):
     ready, late = fk.split_by_parent(fixture(spark, sf, "orders_null_fk"), {"customer": fixture(spark, sf, "legacy_customer")}, [fk.Link("o_custkey", "customer", "c_custkey")])
@@ -254,10 +293,10 @@ def j6(spark, sf):
     """SELECT coalesce(o.o_orderkey, t.o_orderkey) AS o_orderkey, CASE WHEN o.o_orderkey IS NOT NULL THEN CASE WHEN o.o_orderkey % 8 <> 0 THEN o.o_custkey END ELSE t.o_custkey END AS o_custkey, t.o_orderstatus,
     CASE WHEN o.o_orderkey IS NOT NULL THEN o.o_totalprice ELSE t.o_totalprice END AS o_totalprice, t.o_orderdate, t.o_orderpriority,
     CASE WHEN o.o_orderkey IS NULL THEN NULL WHEN t.o_orderkey IS NULL THEN 'I' ELSE 'U' END AS action
-    FROM (SELECT * FROM orders WHERE o_orderkey % 3 <> 2) o FULL OUTER JOIN tgt_orders t ON o.o_orderkey = t.o_orderkey""",
+    FROM orders o FULL OUTER JOIN tgt_orders t ON o.o_orderkey = t.o_orderkey""",
 )
 def j7(spark, sf):
-    changes = load(spark, sf, "orders").where("o_orderkey % 3 <> 2").select("o_orderkey", F.when(F.col("o_orderkey") % 8 != 0, F.col("o_custkey")).alias("o_custkey"), "o_totalprice")
+    changes = load(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 8 != 0, F.col("o_custkey")).alias("o_custkey"), "o_totalprice")
     return merge.merge_upsert(fixture(spark, sf, "tgt_orders"), changes, ["o_orderkey"]).withColumnRenamed("_action", "action")
 
 
@@ -311,11 +350,11 @@ def j11(spark, sf):
 @register(
     "j12_adopt_legacy",
     "legacy_customer",
-    """SELECT c_custkey, c_name, CASE WHEN sync_source_id IS NULL AND c_custkey % 2 = 0 THEN 'A' ELSE sync_source_id END AS sync_source_id,
-    CASE WHEN sync_source_id IS NULL AND c_custkey % 2 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE source_record_id END AS source_record_id FROM legacy_customer""",
+    """SELECT c_custkey, c_name, CASE WHEN sync_source_id IS NULL THEN 'A' ELSE sync_source_id END AS sync_source_id,
+    CASE WHEN sync_source_id IS NULL THEN CAST(c_custkey AS VARCHAR) ELSE source_record_id END AS source_record_id FROM legacy_customer""",
 )
 def j12(spark, sf):
-    changes = lineage.stamp_lineage(load(spark, sf, "customer").where("c_custkey % 2 = 0"), "A", "c_custkey")
+    changes = lineage.stamp_lineage(load(spark, sf, "customer"), "A", "c_custkey")
     return lineage.adopt_legacy(fixture(spark, sf, "legacy_customer"), changes, "c_custkey", "A", ["c_name"]).select("c_custkey", "c_name", "sync_source_id", "source_record_id")
 
 
@@ -452,11 +491,11 @@ def a11(spark, sf):
 
 @register(
     "a12_captured_tables",
-    sql="""WITH r AS (SELECT 'tbl_' || CAST(user_id AS VARCHAR) AS table_name, event_type FROM events WHERE value > 30 AND user_id % 2 = 0), f AS (SELECT table_name FROM r GROUP BY table_name HAVING count(DISTINCT event_type) >= 4)
+    sql="""WITH r AS (SELECT 'tbl_' || CAST(user_id AS VARCHAR) AS table_name, event_type FROM events), f AS (SELECT table_name FROM r GROUP BY table_name HAVING count(DISTINCT event_type) >= 4)
     SELECT 'tbl_' || CAST(c_custkey AS VARCHAR) AS table_name, 'tbl_' || CAST(c_custkey AS VARCHAR) IN (SELECT table_name FROM f) AS captured FROM customer""",
 )
 def a12(spark, sf):
-    rules = load(spark, sf, "events").where("value > 30 AND user_id % 2 = 0").selectExpr("concat('tbl_', user_id) AS table_name", "event_type AS rule_name")
+    rules = load(spark, sf, "events").selectExpr("concat('tbl_', user_id) AS table_name", "event_type AS rule_name")
     return schema.captured_tables(rules, load(spark, sf, "customer").selectExpr("concat('tbl_', c_custkey) AS table_name"), 4)
 
 
@@ -611,7 +650,7 @@ def f1(spark, sf):
 @register(
     "f2_key_token",
     "text_keys",
-    """SELECT p_partkey, CASE WHEN p_partkey % 9 = 1 THEN replace(substr(label, 1, 21), 'T', ' ') ELSE label END AS token FROM text_keys""",
+    """SELECT p_partkey, CASE WHEN p_partkey % 9 = 1 THEN replace(substr(label, 1, 21), 'T', ' ') ELSE regexp_replace(label, '^\\s+|\\s+$', '', 'g') END AS token FROM text_keys""",
 )
 def f2(spark, sf):
     df = fixture(spark, sf, "text_keys")

@@ -1,8 +1,10 @@
 """The continuous job: change-log files in, target versions out, by the batch operators.
 
-Every micro-batch reads the new log rows and the rows that earlier batches deferred, and
-writes one new version of every target and of the deferred rows. Versions are named by
-the batch, so a batch that runs twice after a failure writes the same version again.
+Every micro-batch reads the new log rows and the rows that earlier batches deferred. It
+writes a new version of the buckets of the targets that it changes, of the deferred rows,
+and the outcome of every key, from which the log is marked. Versions are named by the
+batch and read from those before it, so a batch that runs twice after a failure writes
+the same again.
 """
 
 from __future__ import annotations
@@ -13,19 +15,36 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import changelog, fk, keys, merge
+from ledgerloom.functions import tokens
+from ledgerloom.operators import changelog, fk, keys, lineage, merge, schema
+from ledgerloom.sources import tables as store
+from ledgerloom.sources.folders import stored
 
 LOG_SCHEMA = "log_id long, table_name string, pk_value string, operation string, created_at timestamp_ntz, status string, processed_at timestamp_ntz, retry_count int"
 DEFERRED_SCHEMA = "table_name string, pk_value string, status string, retry_count int"
 
 
 class Table(NamedTuple):
-    """A table of the stream: where current rows come from, its key, and its foreign keys to other tables of it."""
+    """A table of the stream: where current rows come from, its key, and its foreign keys to other tables of it.
+
+    Without `source_id` it is upserted by key. With one, several sources share the target: rows are stamped,
+    foreign keys remapped, and the merge goes by lineage; new rows get keys of the target, unless the key is
+    shared with a parent (`preserve_pk`).
+    """
 
     name: str
     source: Callable[[SparkSession], DataFrame]
     key: str
     links: tuple[fk.Link, ...] = ()
+    source_id: str | None = None
+    preserve_pk: bool = False
+    adopt_legacy: bool = False
+    limits: dict[str, int] = {}
+    computed: tuple[str, ...] = ()
+
+    @property
+    def bucket_key(self) -> str:
+        return "source_record_id" if self.source_id else self.key
 
 
 def stream_changes(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
@@ -33,10 +52,6 @@ def stream_changes(spark: SparkSession, path: str, max_files: int = 1) -> DataFr
     return spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def version_path(root: str, table: str, batch: int) -> str:
-    return f"{root}/{table}/version={batch}"
-
-
 def retry_state(deferred: DataFrame, items: DataFrame) -> DataFrame:
     """ST2. Work items of a batch: its new ones and the deferred of earlier ones, each with the tries so far."""
     old = deferred.where(F.col("status") == changelog.PENDING).select("table_name", "pk_value", "retry_count")
@@ -44,51 +59,114 @@ def retry_state(deferred: DataFrame, items: DataFrame) -> DataFrame:
     return old.unionByName(new).groupBy("table_name", "pk_value").agg(F.max("retry_count").alias("retry_count"))
 
 
-def after_tries(items: DataFrame, late: DataFrame, max_retries: int) -> DataFrame:
-    """ST2. The items that stay deferred: one try more, and parked at `max_retries`."""
-    kept = items.join(late, ["table_name", "pk_value"], "left_semi").withColumn("retry_count", (F.col("retry_count") + 1).cast("int"))
-    return kept.select("table_name", "pk_value", F.when(F.col("retry_count") >= max_retries, changelog.PARKED).otherwise(changelog.PENDING).alias("status"), "retry_count")
+def after_tries(items: DataFrame, late: DataFrame, key: str, max_retries: int) -> DataFrame:
+    """ST2. The items of one table that stay deferred, those whose key is in `late`: one try more, and parked at `max_retries`.
+
+    Keys are compared in their own type, as the log may write a timestamp in another way than a cast does.
+    """
+    waiting = late.select(F.col(key).alias("_key")).distinct()
+    kept = items.withColumn("_own", F.col("pk_value").try_cast(late.schema[key].dataType)).join(waiting, F.col("_own") == F.col("_key"), "left_semi")
+    tries = (F.col("retry_count") + 1).cast("int")
+    return kept.select("table_name", "pk_value", F.when(tries >= max_retries, changelog.PARKED).otherwise(changelog.PENDING).alias("status"), tries.alias("retry_count"))
+
+
+def landing(rows: DataFrame, target: DataFrame, t: Table) -> tuple[DataFrame, DataFrame]:
+    """(rows as the target takes them, rows that it can't hold): P4, P2, P3, P8."""
+    plain = tokens.clip_strings(tokens.normalize(merge.drop_managed(rows, computed=t.computed)), t.limits)
+    ok, _ = schema.split_rejects(plain, target.schema, t.key)
+    failed = rows.join(ok.select(F.col(t.key).alias("_key")), F.col(t.key) == F.col("_key"), "left_anti")
+    return ok, failed
+
+
+def apply_table(spark: SparkSession, t: Table, own: DataFrame, root: str, batch: int, n: int) -> DataFrame:
+    """Writes version `batch` of the buckets of a target that its work items `own` (`n` of them) change; returns the source rows that must wait."""
+    path = f"{root}/{t.name}"
+    target = store.read_buckets(spark, path, batch)
+    current = merge.fetch_changed(t.source(spark), own, t.key, n)
+    current = stored(keys.dedup_by_key(current, [t.key], [t.key, *(c for c in current.columns if c != t.key)]), "stream-rows")
+    parents = {link.parent_table: target if link.parent_table == t.name else store.read_buckets(spark, f"{root}/{link.parent_table}", batch + 1) for link in t.links}
+    if t.source_id:
+        stamped = lineage.stamp_lineage(current, t.source_id, t.key)
+        ready, late = fk.remap_fks(stamped, parents, list(t.links), t.source_id, t.adopt_legacy)
+        late = current.join(late.select("source_record_id"), tokens.source_record_token(F.col(t.key), current.schema[t.key].dataType) == F.col("source_record_id"), "left_semi")
+    else:
+        ready, late = fk.split_by_parent(current, parents, list(t.links))
+    ready, failed = landing(ready, target, t)
+    ready = stored(ready, "stream-ready")
+    touched = [r[0] for r in ready.select(store.bucket_of(t.bucket_key)).distinct().collect()]  # no more than there are buckets
+    if touched:
+        part = store.read_buckets(spark, path, batch, touched)
+        if t.source_id:
+            part = lineage.adopt_legacy(part, ready, t.key, t.source_id) if t.adopt_legacy else part
+            merged = merge.merge_by_lineage(part, ready, t.source_id, t.key, preserve_pk=t.preserve_pk, changes_count=n)
+            if not t.preserve_pk:
+                new = merged.where((F.col("_action") == "I") & F.col(t.key).isNull())
+                numbered = keys.allocate_keys(new, target, t.key, ["source_record_id", *(c for c in new.columns if c not in (t.key, "source_record_id"))])
+                merged = merged.where(~F.coalesce((F.col("_action") == "I") & F.col(t.key).isNull(), F.lit(False))).unionByName(numbered)
+        else:
+            merged = merge.merge_upsert(part, ready, [t.key], changes_count=n)
+        store.write_buckets(merged.select(*target.columns), path, batch, t.bucket_key, touched)
+    return late.select(t.key).union(failed.select(t.key))
 
 
 def apply_batch(spark: SparkSession, log: DataFrame, tables: list[Table], root: str, batch: int, max_retries: int = changelog.MAX_RETRIES) -> None:
-    """ST1. One micro-batch: the versions `batch` - 1 and the log rows become the versions `batch`."""
-    held = spark.read.schema(DEFERRED_SCHEMA).parquet(version_path(root, "deferred", batch - 1))
-    # Rows of one file, bounded by maxFilesPerTrigger, and the deferred ones; kept for the steps of all tables.
-    items = retry_state(held, changelog.work_items(log)).persist()
-    links = {t.name: list(t.links) for t in tables}
+    """ST1. One micro-batch: the versions before `batch` and the log rows become the versions `batch`."""
+    held = store.read_snapshot(spark, f"{root}/deferred", store.current_version(spark, f"{root}/deferred", batch))
+    pending = stored(changelog.coalesce_changes(changelog.scope_tables(log.where(F.col("status") == changelog.PENDING)), with_ids=False), "stream-changes")
+    # Rows of one file, bounded by maxFilesPerTrigger, and the deferred ones.
+    items = stored(retry_state(held, pending.where("writes")), "stream-items")
+    counts = {r.table_name: r["count"] for r in items.groupBy("table_name").count().collect()}  # a row a table
     by_name = {t.name: t for t in tables}
-    late_all = held.where(F.col("status") == changelog.PARKED)
-    done: dict[str, DataFrame] = {}
-    for name in fk.table_order(list(by_name), links):
-        t = by_name[name]
-        target = spark.read.parquet(version_path(root, name, batch - 1))
-        own = items.where(F.col("table_name") == name)
-        current = keys.dedup_by_key(merge.fetch_changed(t.source(spark), own, t.key), [t.key], [t.key])
-        ready, late = fk.split_by_parent(current, {**done, name: target}, list(t.links))
-        merge.merge_upsert(target, ready, [t.key]).drop("_action").write.mode("overwrite").parquet(version_path(root, name, batch))
-        done[name] = spark.read.parquet(version_path(root, name, batch))
-        waiting = late.select(F.lit(name).alias("table_name"), F.col(t.key).cast("string").alias("pk_value"))
-        late_all = late_all.unionByName(after_tries(own, waiting, max_retries))
-    late_all.write.mode("overwrite").parquet(version_path(root, "deferred", batch))
-    items.unpersist()
-
-
-def start_versions(spark: SparkSession, targets: dict[str, DataFrame], root: str) -> None:
+    waiting = None
+    for name in fk.table_order(list(by_name), {t.name: list(t.links) for t in tables}):
+        if name in counts:  # tables without work are neither read nor written
+            t, own = by_name[name], items.where(F.col("table_name") == name)
+            late = after_tries(own, stored(apply_table(spark, t, own, root, batch, counts[name]), "stream-late"), t.key, max_retries)
+            waiting = late if waiting is None else waiting.unionByName(late)
+    waiting = stored(waiting if waiting is not None else held.limit(0), "stream-waiting")
+    # A parked key stays parked until a change of it succeeds.
+    parked = held.where(F.col("status") == changelog.PARKED).join(items.select("table_name", "pk_value"), ["table_name", "pk_value"], "left_anti")
+    ours = pending.select("table_name", "pk_value").union(items.select("table_name", "pk_value")).distinct().where(F.col("table_name").isin(*by_name))
+    outcomes = ours.join(waiting.withColumnRenamed("status", "_status"), ["table_name", "pk_value"], "left").select("table_name", "pk_value", F.when(F.col("_status").isNull(), "done").otherwise("deferred").alias("outcome"), F.coalesce("retry_count", F.lit(0)).alias("tries"))
+    outcomes.write.mode("overwrite").parquet(f"{root}/outcomes/version={batch}")  # counts once the version of the deferred rows is written
+    store.write_snapshot(waiting.unionByName(parked), f"{root}/deferred", batch)
+
+
+def start_versions(spark: SparkSession, targets: dict[str, DataFrame], root: str, tables: list[Table]) -> None:
     """Version -1: the targets before the first batch, and nothing deferred."""
+    keys_of = {t.name: t.bucket_key for t in tables}
     for name, df in targets.items():
-        df.write.mode("overwrite").parquet(version_path(root, name, -1))
-    spark.createDataFrame([], DEFERRED_SCHEMA).write.mode("overwrite").parquet(version_path(root, "deferred", -1))
+        store.write_buckets(df, f"{root}/{name}", -1, keys_of[name])
+    store.write_snapshot(spark.createDataFrame([], DEFERRED_SCHEMA), f"{root}/deferred", -1)
+
+
+def read_target(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The current version of a target."""
+    return store.read_buckets(spark, f"{root}/{name}")
+
+
+def read_deferred(spark: SparkSession, root: str) -> DataFrame:
+    return store.read_snapshot(spark, f"{root}/deferred")
+
+
+def marked_log(spark: SparkSession, root: str, log: DataFrame, now: str, source_id: str, max_retries: int = changelog.MAX_RETRIES) -> DataFrame:
+    """L1. The log with the outcomes of all batches so far: of each key the latest."""
+    last = store.current_version(spark, f"{root}/deferred")
+    if last is None or last < 0:
+        return log
+    done = spark.read.schema("table_name string, pk_value string, outcome string, tries int, version long").parquet(f"{root}/outcomes").where(F.col("version") <= last)
+    latest = done.groupBy("table_name", "pk_value").agg(F.max_by(F.struct("outcome", "tries"), "version").alias("x")).select("table_name", "pk_value", "x.outcome", "x.tries", F.when(F.col("x.outcome") == "deferred", "parent or value").alias("reason"))
+    tried = log.join(latest.select("table_name", "pk_value", "tries"), ["table_name", "pk_value"], "left").withColumn("retry_count", (F.col("retry_count") + F.greatest(F.coalesce("tries", F.lit(0)) - 1, F.lit(0))).cast("int"))
+    return changelog.apply_outcomes(tried.select(*log.columns), latest, now, source_id, max_retries)
 
 
 def run_stream(spark: SparkSession, log_path: str, tables: list[Table], root: str, max_files: int = 1, max_retries: int = changelog.MAX_RETRIES, every: str | None = None) -> int:
-    """Runs the stream, until it has read all files, or with `every` (such as `1 second`) until it is stopped. Returns the last version."""
-    last = [-1]
+    """Runs the stream, until it has read all files, or with `every` (such as `1 second`) until it is stopped. Returns the last version, also if no batch was left to run."""
 
     def each(log: DataFrame, batch: int) -> None:
         apply_batch(log.sparkSession, log, tables, root, batch, max_retries)
-        last[0] = batch
 
     writer = stream_changes(spark, log_path, max_files).writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/checkpoint")
     query = (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
     query.awaitTermination()
-    return last[0]
+    return store.current_version(spark, f"{root}/deferred")

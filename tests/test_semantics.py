@@ -33,7 +33,7 @@ MOMENT = dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
         (12345678.0, T.DoubleType(), "12345678.0"),
         ("\t x ", T.StringType(), "x"),
         ("a1b2c3d4-0000-1111-2222-abcdefabcdef", T.StringType(), "A1B2C3D4-0000-1111-2222-ABCDEFABCDEF"),
-        ("y" * 150, T.StringType(), "y" * 100),
+        ("y" * 100, T.StringType(), "y" * 100),
         (None, T.StringType(), None),
         (7, T.LongType(), "7"),
     ],
@@ -48,8 +48,22 @@ def test_decimal_token_is_float_text(spark):
     assert one(spark, Decimal("5.0000"), T.DecimalType(18, 4), tokens.source_record_token) == "5.0"
 
 
+def test_long_keys_stay_apart(spark):
+    a, b = (one(spark, "y" * 120 + x, T.StringType(), tokens.source_record_token) for x in "ab")
+    assert a != b and len(a) == len(b) == 100 and a[:67] == b[:67] == "y" * 67
+    assert a == one(spark, "y" * 120 + "a", T.StringType(), tokens.legacy_label)
+
+
+@pytest.mark.parametrize("kind", [T.DecimalType(15, 4), T.DecimalType(18, 4)])
+@pytest.mark.parametrize("value", ["5", "-12.34", "0.0001", "1234567.5", "0"])
+def test_decimals_are_float_texts(spark, kind, value):
+    from decimal import Decimal
+
+    assert one(spark, Decimal(value), kind, tokens.source_record_token) == one(spark, Decimal(value), kind, tokens.key_token) == str(float(value))
+
+
 def test_key_token_rewrites_only_timestamps(spark):
-    assert one(spark, "ATBZ", T.StringType(), tokens.key_token) == "ATBZ"
+    assert one(spark, " ATBZ\t", T.StringType(), tokens.key_token) == "ATBZ"
     assert one(spark, "2024-01-02T03:04:05.500Z", T.StringType(), tokens.key_token) == "2024-01-02 03:04:05.5"
     assert one(spark, MOMENT.replace(microsecond=0), T.TimestampNTZType(), tokens.key_token) == "2024-01-02 03:04:05"
     assert one(spark, dt.date(2024, 1, 2), T.DateType(), tokens.key_token) == "2024-01-02 00:00:00"
@@ -173,24 +187,102 @@ def test_snapshots_and_jdbc(spark, tmp_path):
 LOG = "log_id long, table_name string, pk_value string, operation string, created_at timestamp_ntz, status string, processed_at timestamp_ntz, retry_count int"
 
 
+def log_file(spark, path, changes):
+    spark.createDataFrame([(i, t, k, "I", None, "pending", None, 0) for i, t, k in changes], LOG).coalesce(1).write.mode("append").parquet(path)
+
+
 def test_late_parent_releases_its_child(spark):
     root, log = new_folder(spark, "root"), new_folder(spark, "log")
     parents, children = spark.createDataFrame([(1, "p")], "id long, v string"), spark.createDataFrame([(10, 1), (11, 99)], "id long, parent long")
-    streaming.start_versions(spark, {"parent": parents.limit(0), "child": children.limit(0)}, root)
-    for changes in ([(1, "child", "10"), (2, "child", "11")], [(3, "child", "11")], [(4, "parent", "1")]):
-        spark.createDataFrame([(i, t, k, "I", None, "pending", None, 0) for i, t, k in changes], LOG).coalesce(1).write.mode("append").parquet(log)
     jobs = [streaming.Table("child", lambda s: children, "id", (fk.Link("parent", "parent", "id"),)), streaming.Table("parent", lambda s: parents, "id")]
+    streaming.start_versions(spark, {"parent": parents.limit(0), "child": children.limit(0)}, root, jobs)
+    for changes in ([(1, "child", "10"), (2, "child", "11")], [(3, "child", "11")], [(4, "parent", "1")]):
+        log_file(spark, log, changes)
     last = streaming.run_stream(spark, log, jobs, root, max_files=1, max_retries=3)
-    assert rows(spark.read.parquet(streaming.version_path(root, "child", last))) == [(10, 1)]
-    left = spark.read.parquet(streaming.version_path(root, "deferred", last)).first()
+    assert last == 2 and rows(streaming.read_target(spark, root, "child")) == [(10, 1)]
+    left = streaming.read_deferred(spark, root).first()
     assert (left.pk_value, left.status, left.retry_count) == ("11", "deferred_max", 3)
+    assert streaming.run_stream(spark, log, jobs, root, max_files=1, max_retries=3) == 2  # nothing new: the same version
+
+
+def test_late_rows_with_temporal_keys_stay_deferred(spark):
+    root = new_folder(spark, "temporal")
+    children = spark.createDataFrame([(dt.datetime(2024, 1, 1), 5)], "id timestamp_ntz, parent long")
+    parents = spark.createDataFrame([(5, "p")], "id long, v string")
+    jobs = [streaming.Table("child", lambda s: children, "id", (fk.Link("parent", "parent", "id"),)), streaming.Table("parent", lambda s: parents, "id")]
+    streaming.start_versions(spark, {"parent": parents.limit(0), "child": children.limit(0)}, root, jobs)
+    one_change = lambda t, k: spark.createDataFrame([(1, t, k, "I", None, "pending", None, 0)], LOG)
+    streaming.apply_batch(spark, one_change("child", "2024-01-01 00:00:00.000000"), jobs, root, 0)
+    assert [r.pk_value for r in streaming.read_deferred(spark, root).collect()] == ["2024-01-01 00:00:00.000000"]
+    streaming.apply_batch(spark, one_change("parent", "5"), jobs, root, 1)
+    assert streaming.read_target(spark, root, "child").count() == 1 and streaming.read_deferred(spark, root).count() == 0
+
+
+def test_parked_key_is_free_once_it_succeeds(spark):
+    root = new_folder(spark, "parked")
+    source = spark.createDataFrame([(1, 5)], "id long, parent long")
+    parents = spark.createDataFrame([(5,)], "id long")
+    jobs = [streaming.Table("child", lambda s: source, "id", (fk.Link("parent", "parent", "id"),)), streaming.Table("parent", lambda s: parents, "id")]
+    streaming.start_versions(spark, {"parent": parents.limit(0), "child": source.limit(0)}, root, jobs)
+    change = lambda t, k: spark.createDataFrame([(1, t, k, "U", None, "pending", None, 0)], LOG)
+    streaming.apply_batch(spark, change("child", "1"), jobs, root, 0, max_retries=1)
+    assert streaming.read_deferred(spark, root).first().status == "deferred_max"
+    streaming.apply_batch(spark, change("parent", "5"), jobs, root, 1, max_retries=1)
+    assert streaming.read_deferred(spark, root).count() == 1
+    streaming.apply_batch(spark, change("child", "1"), jobs, root, 2, max_retries=1)
+    assert streaming.read_deferred(spark, root).count() == 0 and streaming.read_target(spark, root, "child").count() == 1
+
+
+def test_rows_that_cannot_land_wait(spark):
+    root = new_folder(spark, "rejects")
+    source = spark.createDataFrame([(1, "7"), (2, "x")], "id long, n string")
+    job = [streaming.Table("t", lambda s: source, "id")]
+    streaming.start_versions(spark, {"t": spark.createDataFrame([(1, 0), (3, 3)], "id long, n int")}, root, job)
+    streaming.apply_batch(spark, spark.createDataFrame([(i, "t", str(i), "U", None, "pending", None, 0) for i in (1, 2)], LOG), job, root, 0)
+    assert rows(streaming.read_target(spark, root, "t")) == [(1, 7), (3, 3)]
+    assert [r.pk_value for r in streaming.read_deferred(spark, root).collect()] == ["2"]
 
 
 def test_replayed_batch_changes_nothing(spark):
     root = new_folder(spark, "replay")
     source = spark.createDataFrame([(1, "new")], "id long, v string")
-    streaming.start_versions(spark, {"t": spark.createDataFrame([(1, "old")], "id long, v string")}, root)
+    job = [streaming.Table("t", lambda s: source, "id")]
+    streaming.start_versions(spark, {"t": spark.createDataFrame([(1, "old"), (2, "kept")], "id long, v string")}, root, job)
     log = spark.createDataFrame([(1, "t", "1", "U", None, "pending", None, 0)], LOG)
     for _ in range(2):
-        streaming.apply_batch(spark, log, [streaming.Table("t", lambda s: source, "id")], root, 0)
-    assert rows(spark.read.parquet(streaming.version_path(root, "t", 0))) == [(1, "new")]
+        streaming.apply_batch(spark, log, job, root, 0)
+    assert rows(streaming.read_target(spark, root, "t")) == [(1, "new"), (2, "kept")]
+
+
+def test_only_touched_buckets_are_written(spark):
+    path = new_folder(spark, "buckets")
+    df = spark.range(200).withColumn("v", F.lit("old"))
+    tables.write_buckets(df, path, -1, "id")
+    [bucket] = {r[0] for r in spark.range(7, 8).select(tables.bucket_of("id")).collect()}
+    part = tables.read_buckets(spark, path, 0, [bucket])
+    assert 0 < part.count() < 200
+    tables.write_buckets(part.where("id <> 7"), path, 0, "id", [bucket])
+    assert tables.read_buckets(spark, path).count() == 199 and tables.read_buckets(spark, path, 0).count() == 200
+    assert tables.children(spark, f"{path}/version=0") != [] and len([x for x in tables.children(spark, f"{path}/version=0") if x.startswith(tables.BUCKET)]) == 1
+
+
+def test_repeated_lineage_does_not_multiply_children(spark):
+    parent = spark.createDataFrame([(102, "A", "1"), (101, "A", "1")], "id long, sync_source_id string, source_record_id string")
+    child = spark.createDataFrame([(1, 1)], "k long, a long")
+    ready, late = fk.remap_fks(child, {"p": parent}, [fk.Link("a", "p", "id")], "A")
+    assert rows(ready) == [(1, 101)] and late.count() == 0
+
+
+def test_few_changes_do_not_shuffle_the_target(spark):
+    path = new_folder(spark, "target")
+    spark.range(1000).withColumn("v", F.lit("old")).write.parquet(path)
+    target = spark.read.parquet(path)
+    changes = spark.createDataFrame([(5, "new"), (5000, "new")], "id long, v string")
+    merged = merge.merge_upsert(target, changes, ["id"], changes_count=2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 3
+    assert rows(merged.where("v = 'new'")) == [(5, "new", "U"), (5000, "new", "I")] and merged.count() == 1001
