@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from .common import fold, load, text_slices
 
-#: Training documents of each language: so many in expectation, chosen by the hash of their ids.
-SAMPLE = 1000
+#: Training documents of each language: so many in expectation, chosen by a hash of id and text; twice as
+#: many over all languages at most, and none longer than this. So no more than that reaches the driver.
+SAMPLE, SAMPLE_CHARS = 1000, 16_384
 BUCKETS, WIDTH, EPOCHS, RATE, SEED = 1 << 16, 16, 3, 0.5, 42
 #: Share of held-back documents whose scores may lie under the limit of rejection.
 REJECT_SHARE = 0.01
@@ -100,16 +101,17 @@ def train(rows: list[tuple[str, str]]) -> Model | None:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
-    """A model of rows with text and language: about `sample` of each language, those with the smallest hashes."""
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).cast("string").alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    """A model of rows with text and language: about `sample` of each language, those with the smallest hashes. Repeated rows count once."""
+    known = docs.where(F.col(lang).isNotNull() & (F.length(F.col(text).cast("string")) <= SAMPLE_CHARS)).select(F.col(doc_id).cast("string").alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     totals = known.groupBy("lang").count().collect()  # a row a language
     if not totals:
         return None
-    place = F.abs(F.xxhash64(F.coalesce("id", F.lit(""))) % 1_000_000)
+    place = F.abs(F.xxhash64(F.coalesce("id", F.lit("")), "text") % 1_000_000)
     below = F.lit(0)
     for r in totals:
         below = F.when(F.col("lang") == r.lang, F.lit(int(1_000_000 * min(1.0, sample / r["count"])) + 1)).otherwise(below)
-    rows = known.where(place < below).select("id", "text", "lang").toLocalIterator()
+    picked = known.where(place < below).select("id", "text", "lang").distinct()
+    rows = picked.orderBy(F.xxhash64("id", "text", "lang")).limit(2 * sample * len(totals)).collect()
     return train([(r.text, r.lang) for r in sorted(rows, key=lambda r: (r.id or "", r.text))])
 
 

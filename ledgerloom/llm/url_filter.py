@@ -23,11 +23,11 @@ PATTERN_RULES = [
     (r"[/._-]casino[/._-]", "block", ["casino"]),
     (r"/wp-login\.php", "block", ["wp", "login"]),  # php may go on: php5
     (r"[?&]utm_source=feed(&|#|$)", "block", ["utm", "source", "feed"]),
-    (r"\.(exe|msi)([?#]|$)", "block", None),
+    (r"\.exe([?#]|$)", "block", ["exe"]),
+    (r"\.msi([?#]|$)", "block", ["msi"]),
     (r"/blog/.*[?&]page=[0-9]+", "allow", ["blog", "page"]),
 ]
 DEFAULT_VERDICT = "allow"
-NO_TOKEN = ""
 #: Up to so many rules are sent to every task; more are joined by a shuffle on the token.
 BROADCAST_RULES = 10_000
 
@@ -45,14 +45,14 @@ def with_parts(pages: DataFrame, url: str) -> DataFrame:
 
 
 def tokens(url: str):
-    """Different runs of ASCII letters and digits of a URL, lower-cased, and the empty token for rules without one."""
+    """Different runs of ASCII letters and digits of a URL, lower-cased."""
     words = F.split(upper_to_lower(F.coalesce(F.col(url), F.lit(""))), "[^a-z0-9]+")
-    return F.array_distinct(F.array_append(F.filter(words, lambda w: w != ""), F.lit(NO_TOKEN)))
+    return F.array_distinct(F.filter(words, lambda w: w != ""))
 
 
 def filed_rules(rules: DataFrame, urls: DataFrame, url: str) -> DataFrame:
-    """Each rule (`pattern`, `verdict`, `literals`) with `token`, the rarest of its literals over all urls."""
-    literals = rules.select("pattern", F.explode(F.coalesce("literals", F.array(F.lit(NO_TOKEN)))).alias("token"))
+    """Each rule (`pattern`, `verdict`, `literals`) with `token`, the rarest of its literals over all urls. A rule without one could only run on every url, and is an error."""
+    literals = rules.select("pattern", F.explode(F.when(F.size("literals") > 0, F.col("literals")).otherwise(F.array(F.raise_error(F.concat(F.lit("no literal token in "), "pattern")).cast("string")))).alias("token"))
     wanted = literals.select("token").distinct()
     counts = urls.select(F.explode(tokens(url)).alias("token")).join(wanted, "token", "left_semi").groupBy("token").count()
     rarest = Window.partitionBy("pattern").orderBy("n", "token")
@@ -64,9 +64,10 @@ def judged(pages: DataFrame, host_rules: list = HOST_RULES, pattern_rules: list
     """`pages` with `host`, `path`, `rule` (a host rule such as `net/`, or null), `pattern` and `verdict`.
 
     The longest host rule that fits decides; else the longest pattern that matches; else `default`. Null and
-    malformed urls have an empty host and path, which no host rule fits. Each different url is judged once and
-    the judgement joined to its rows, so repeated urls, a third of all rows or more, are folded first. Columns
-    of `pages` with the names of new ones are replaced. An empty table gives no rows.
+    malformed urls have an empty host and path, which no host rule fits; urls without any token fetch no
+    pattern rule. Each different url is judged once, however often or in however long a form it occurs, and the
+    judgement of those that a rule fits joined to their rows; null urls go past the join. Columns of `pages` with
+    the names of new ones are replaced, all others kept. An empty table gives no rows.
     """
     spark: SparkSession = pages.sparkSession
     new = ["host", "path", "rule", "pattern", "verdict"]
@@ -88,12 +89,17 @@ def judged(pages: DataFrame, host_rules: list = HOST_RULES, pattern_rules: list
     matching = candidates.where(F.expr("url RLIKE pattern"))
     by_pattern = matching.groupBy("url").agg(F.max(F.struct(F.length("pattern").alias("long"), "pattern", "verdict")).alias("p"))
 
+    own = "_url"
+    while own in pages.columns:
+        own += "_"
     known = by_host.join(by_pattern, "url", "full_outer").select(
-        F.col("url").alias("_url"), F.col("h.rule").alias("rule"), F.when(F.col("h").isNull(), F.col("p.pattern")).alias("pattern"), F.coalesce("h.verdict", "p.verdict").alias("verdict")
+        F.col("url").alias(own), F.col("h.rule").alias("rule"), F.when(F.col("h").isNull(), F.col("p.pattern")).alias("pattern"), F.coalesce("h.verdict", "p.verdict").alias("verdict")
     )
     known = stored(known, "url-judgements")
     whole = with_parts(pages, url)
-    return whole.join(known, whole[url] == known["_url"], "left").drop("_url").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    found = whole.where(F.col(url).isNotNull()).join(known, F.col(url) == F.col(own), "left").drop(own)
+    nameless = whole.where(F.col(url).isNull()).select("*", *(F.lit(None).cast("string").alias(c) for c in ("rule", "pattern", "verdict")))
+    return found.unionByName(nameless).withColumn("verdict", F.coalesce("verdict", F.lit(default)))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -111,9 +117,10 @@ WITH u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url,
      m AS (SELECT *, CASE WHEN rule IS NOT NULL THEN NULL
                           WHEN regexp_matches(url, '[?&]utm_source=feed(&|#|$)') THEN '[?&]utm_source=feed(&|#|$)'
                           WHEN regexp_matches(url, '/blog/.*[?&]page=[0-9]+') THEN '/blog/.*[?&]page=[0-9]+'
-                          WHEN regexp_matches(url, '\.(exe|msi)([?#]|$)') THEN '\.(exe|msi)([?#]|$)'
                           WHEN regexp_matches(url, '[/._-]casino[/._-]') THEN '[/._-]casino[/._-]'
-                          WHEN regexp_matches(url, '/wp-login\.php') THEN '/wp-login\.php' END AS pattern FROM j)
+                          WHEN regexp_matches(url, '/wp-login\.php') THEN '/wp-login\.php'
+                          WHEN regexp_matches(url, '\.msi([?#]|$)') THEN '\.msi([?#]|$)'
+                          WHEN regexp_matches(url, '\.exe([?#]|$)') THEN '\.exe([?#]|$)' END AS pattern FROM j)
 SELECT page_id, host, path, rule, pattern,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
             WHEN pattern IS NULL OR starts_with(pattern, '/blog') THEN 'allow' ELSE 'block' END AS verdict
