@@ -34,6 +34,8 @@ from .decontaminate import words_of
 SAMPLE, SAMPLE_CHARS = 6000, 16_384
 #: Bytes of a dictionary at most (a quarter of the training text, if that is less), and the trainer's segment and match lengths.
 DICTIONARY, SEGMENT, MATCH = 900_000, 72, 6
+#: Bytes of coded text of each class that train a dictionary at most: whole documents in a random order.
+TRAINING = 16 << 20
 #: Words of a training sample.
 SAMPLE_WORDS = 64
 LEVEL = 3
@@ -150,11 +152,16 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes] |
     """A dictionary of the whole texts of each class, from as many bytes of either. None if there are too few to train on."""
     import zstandard
 
-    def samples(texts: list[str]) -> list[bytes]:
-        return [b"".join(own[i : i + SAMPLE_WORDS]) for own in (coded(words_of(t)) for t in texts) for i in range(0, len(own), SAMPLE_WORDS)]
-
-    sets = [samples(toxic), samples(ordinary)]
-    rng, most, trained = np.random.default_rng(42), min(sum(map(len, own)) for own in sets), []
+    rng, sets = np.random.default_rng(42), []
+    for texts in (toxic, ordinary):
+        own, size = [], 0
+        for i in rng.permutation(len(texts)):
+            if size < TRAINING:
+                words = coded(words_of(texts[i]))
+                own += [b"".join(words[k : k + SAMPLE_WORDS]) for k in range(0, len(words), SAMPLE_WORDS)]
+                size += sum(map(len, words))
+        sets.append(own)
+    most, trained = min(sum(map(len, own)) for own in sets), []
     for own in sets:
         own = [own[i] for i in rng.permutation(len(own))]
         own = own[: int(np.searchsorted(np.cumsum([len(x) for x in own]), most, "right")) + 1]
@@ -174,7 +181,8 @@ def train(rows: list[tuple[str, int]], toxic_share: float) -> Model:
     both = dictionaries([t for t, own in fit if own], [t for t, own in fit if not own]) if 0 < y.sum() < len(y) else None
     if both is None:
         return Model(b"", b"", (), toxic_share)
-    x, _ = features(pa.array([t for t, _ in held], pa.string()), Windows(*both))
+    windows = Windows(*both)
+    x = np.vstack([features(pa.array([t for t, _ in held[i : i + 256]], pa.string()), windows)[0] for i in range(0, len(held), 256)])
     weight = np.where(y == 1, SHARE / max(1, (y == 1).sum()), (1 - SHARE) / max(1, (y == 0).sum())) * len(y)
     return Model(*both, tuple(calibrated(x, y, weight).tolist()), toxic_share)
 
