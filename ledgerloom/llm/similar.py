@@ -36,7 +36,7 @@ SHINGLE, SIMILARITY = 5, "0.8"
 #: Counters of hashed shingles, and how many a task hands on in a row.
 COUNTERS, CHUNK = 1 << 20, 1 << 12
 #: Texts under one shingle that are compared in pairs at once; rounds in which one text is compared with all others of larger groups.
-PAIRED, STARS = 48, 2
+PAIRED, STARS = 16, 2
 MEMO_WORDS = 500_000
 SPACES = r"[\x09-\x0D\x20]+"
 
