@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,12 +177,14 @@ def test_mixture_of_odd_rows(spark, monkeypatch):
 def test_pipeline_is_its_stages_by_brute_force(spark):
     import corpus_pipeline
     from ledgerloom.llm import toxicity
+    from test_similar import brute_kept
 
     docs = load(spark, SMALL, "documents").collect()
     model = toxicity.fit(load(spark, SMALL, "documents"), toxicity.training_labels(load(spark, SMALL, "labels")))
     scorer = toxicity.Scorer(model)
-    left = [r for r in docs if scorer.score(scorer.hits(toxicity.words_of(r.text))) < toxicity.THRESHOLD]
-    lowest = {c for _, c in brute_near_duplicates([(r.doc_id, r.text) for r in left]).values()}
+    scores, _ = scorer.scores(pa.array([r.text or "" for r in docs]))
+    left = [r for r, score in zip(docs, scores) if score < toxicity.THRESHOLD]
+    lowest = set(brute_kept([(r.doc_id, r.text) for r in left]))
     left = [r for r in left if r.doc_id in lowest]
     items = [(r.item_id, r.text) for r in load(spark, SMALL, "benchmark").collect()]
     left = [r for r in left if contamination_of(r.text, items)[1] == 0]
