@@ -533,9 +533,9 @@ def w3(spark, sf):
     return keys.add_surrogate_key(load(spark, sf, "lineitem"), LINE_ORDER).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "sync_row_id")
 
 
-@register("w4_allocate_keys", "tgt_orders", "SELECT o_custkey, o_totalprice, o_orderdate, (SELECT max(o_orderkey) FROM tgt_orders) + row_number() OVER (ORDER BY o_custkey, o_orderdate, o_totalprice) AS o_orderkey FROM orders WHERE o_orderkey % 10 = 3")
+@register("w4_allocate_keys", "tgt_orders", "SELECT o_custkey, o_totalprice, o_orderdate, (SELECT max(o_orderkey) FROM tgt_orders) + row_number() OVER (ORDER BY o_custkey, o_orderdate, o_totalprice) AS o_orderkey FROM orders")
 def w4(spark, sf):
-    new = load(spark, sf, "orders").where("o_orderkey % 10 = 3").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    new = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     return keys.allocate_keys(new, fixture(spark, sf, "tgt_orders"), "o_orderkey", ["o_custkey", "o_orderdate", "o_totalprice"])
 
 
