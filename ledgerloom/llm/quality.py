@@ -98,26 +98,44 @@ def summed(rows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def partial_equations(rows: DataFrame, held) -> DataFrame:
-    """Z'Z with Z'y of every task, by rows `i`, dealt out to 16 groups `part` by the number of the task.
+    """Z'Z with Z'y of every task and each half of the rows, by rows `i`, dealt out to 16 groups `part` by the number of the task.
 
-    A task that runs again has the same `part`; with another, its sums would reach reducers that
-    have them already and miss some that have not.
+    Rows `i` of the second half follow those of the first. A task that runs again has the same
+    `part`; with another, its sums would reach reducers that have them already and miss some that
+    have not.
     """
+    size = FEATURES + 1
 
     def equations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((FEATURES + 1, FEATURES + 2))
+        total = np.zeros((2 * size, size + 1))
         for batch in batches:
             z = fourier(matrix(batch), *held.value)
-            y = batch.column("y").to_numpy(zero_copy_only=False)
-            total += z.T @ np.column_stack((z, y))
+            both = np.column_stack((z, batch.column("y").to_numpy(zero_copy_only=False)))
+            half = batch.column("half").to_numpy(zero_copy_only=False)
+            for k in (0, 1):
+                total[k * size : (k + 1) * size] += z[half == k].T @ both[half == k]
         part = TaskContext.get().partitionId() % 16
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1), pa.int32()), pa.array(np.full(FEATURES + 1, part), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["i", "part", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * size), pa.int32()), pa.array(np.full(2 * size, part), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["i", "part", "v"])
 
-    return rows.select(*STATISTICS, "y").mapInArrow(equations, "i int, part int, v array<double>")
+    return rows.select(*STATISTICS, "y", half_of_rows()).mapInArrow(equations, "i int, part int, v array<double>")
+
+
+def half_of_rows():
+    """0 or 1 by the statistics of a row, so copies of a text are in one half."""
+    return F.pmod(F.xxhash64(*STATISTICS), F.lit(2)).cast("int").alias("half")
+
+
+def solved(total: np.ndarray, n: int) -> np.ndarray:
+    """Ridge weights of the summed equations of `n` rows; the constant is free."""
+    return np.linalg.solve(total[:, :-1] + RIDGE * n * np.diag([*[1.0] * FEATURES, 0.0]), total[:, -1])
 
 
 def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> Model | None:
-    """A model of all rows of `stats` that have a label. None without both labels. Of several labels of one id the larger counts."""
+    """A model of all rows of `stats` that have a label. None without both labels. Of several labels of one id the larger counts.
+
+    The curve is calibrated on scores that a row gets from the equations of the half it isn't in; a
+    half without rows takes the weights of all.
+    """
     spark = stats.sparkSession
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(label).cast("double").alias("y"))
     rows = stored(stats.join(known, "doc_id"), "quality-training")
@@ -129,17 +147,19 @@ def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str
     held = spark.sparkContext.broadcast((mean, scale))
     parts = partial_equations(rows, held)
     lines = summed(summed(parts, ["i", "part"]).select("i", "v"), ["i"]).collect()  # one row a feature
-    total = np.array([r.v for r in sorted(lines)])
-    left = total[:, :-1] + RIDGE * whole.n * np.diag([*[1.0] * FEATURES, 0.0])
-    weights = np.linalg.solve(left, total[:, -1])
-    raw = spark.sparkContext.broadcast((mean, scale, weights))
+    halves = np.array([r.v for r in sorted(lines)]).reshape(2, FEATURES + 1, FEATURES + 2)
+    weights = solved(halves.sum(axis=0), whole.n)
+    sizes = halves[:, -1, -2].round().astype(int)  # the sum of the constant's squares
+    other = np.array([solved(halves[1 - k], sizes[1 - k]) if sizes[1 - k] else weights for k in (0, 1)])
+    raw = spark.sparkContext.broadcast((mean, scale, other))
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = bins(fourier(matrix(batch), *raw.value[:2]) @ raw.value[2])
+            half = batch.column("half").to_numpy(zero_copy_only=False)
+            at = bins((fourier(matrix(batch), *raw.value[:2]) * raw.value[2][half]).sum(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column("y")], names=["bin", "y"])
 
-    seen = rows.select(*STATISTICS, "y").mapInArrow(binned, "bin int, y double").groupBy("bin").agg(F.count("*").alias("n"), F.sum("y").alias("ones")).orderBy("bin").collect()
+    seen = rows.select(*STATISTICS, "y", half_of_rows()).mapInArrow(binned, "bin int, y double").groupBy("bin").agg(F.count("*").alias("n"), F.sum("y").alias("ones")).orderBy("bin").collect()
     share = whole.ones / whole.n
     level = never_falling([(r.ones + share) / (r.n + 1) for r in seen], [r.n + 1 for r in seen])
     return Model(mean, scale, weights, np.interp(np.arange(BINS), [r.bin for r in seen], level))
