@@ -13,8 +13,9 @@ there leave room for the similarity and that no link joins yet are checked too.
 
 Any order is right; rare ones first keeps common passages from gathering candidates. It
 comes from counts of hashed shingles in a table of fixed size. Where many texts meet under
-one shingle, a few of them are compared with all others first, and only what is not yet
-linked is compared in pairs, as whoever is linked already needs no more comparisons.
+one shingle, a few of them are compared with all others first, as whoever is linked already
+needs no more comparisons; what is not yet linked is compared block by block, and only pairs
+whose rare shingles leave room for the similarity come out of that.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ SHINGLE, SIMILARITY = 5, "0.8"
 COUNTERS, CHUNK = 1 << 20, 1 << 12
 #: Texts under one shingle that are compared in pairs at once; rounds in which one text is compared with all others of larger groups.
 PAIRED, STARS = 16, 2
+#: Texts of a block of a larger group; a task compares two blocks.
+BLOCK = 1024
 MEMO_WORDS = 500_000
 SPACES = r"[\x09-\x0D\x20]+"
 
@@ -179,6 +182,39 @@ def meetings(rows: DataFrame, level: Fraction) -> DataFrame:
     return rows.select("h", "fp", "n", "at").repartition("h").sortWithinPartitions("h", "fp").mapInArrow(run, "h long, a long, b long")
 
 
+def blocked(rows: DataFrame, every: DataFrame, level: Fraction) -> DataFrame:
+    """`a`, `b`: pairs of texts under one shingle that have different roots, share no rarer shingle and may be similar.
+
+    `rows` have `h`, `fp`, `n`, `at`, `root` and `m`, the size of their group; `every` is all that `filed` gave. No
+    task holds a whole group: it gets two blocks of it. What two sets share is among the rare shingles of both, or
+    behind the last rare one of either.
+    """
+    p, q = level.numerator, level.denominator
+
+    def compare(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        fp, n, at, root, block = (table.column(c).to_numpy().astype(np.int64) for c in ("fp", "n", "at", "root", "block"))
+        rare = table.column("rare").to_pylist()
+        sets, before = [frozenset(x) for x in rare], [x[:k] for x, k in zip(rare, at.tolist())]
+        behind = [size - len(x) for size, x in zip(n.tolist(), rare)]
+        second, found = np.flatnonzero(block == j), []
+        for x in np.flatnonzero(block == i).tolist():
+            y = second[second > x] if i == j else second
+            both = n[y] + n[x]
+            fits = (root[y] != root[x]) & (np.minimum(n[y], n[x]) * q >= np.maximum(n[y], n[x]) * p) & (np.minimum(n[y] - at[y], n[x] - at[x]) * (p + q) >= both * p)
+            for k, size in zip(y[fits].tolist(), both[fits].tolist()):
+                if sets[k].isdisjoint(before[x]) and (len(sets[k] & sets[x]) + max(behind[k], behind[x])) * (p + q) >= size * p:
+                    found.append((k, x))
+        k, x = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table([pa.array(np.minimum(fp[k], fp[x])), pa.array(np.maximum(fp[k], fp[x]))], names=["a", "b"])
+
+    rare = every.join(rows.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("at", "h")))["h"].alias("rare"))
+    blocks = F.ceil(F.col("m") / BLOCK).cast("long")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), blocks)).join(rare, "fp").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp", "n", "at", "root", "block", "rare")
+    return dealt.groupBy("h", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def checked(pairs: DataFrame, texts: DataFrame, shingle: int, level: Fraction) -> DataFrame:
     """Those of `pairs` (`a`, `b`) that are as similar as `level`, by their sets of shingles."""
 
@@ -234,13 +270,15 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: str = SI
         left = stored(left.select("h", "fp", "n", "at").join(roots, "fp", "left").select("h", "fp", "n", "at", F.coalesce("root", "fp").alias("root")), "similar-left")
         groups = left.groupBy("h").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64(F.lit(star), "fp").alias("o"), "fp", "n", "at", "root")).alias("pivot"))
         groups = stored(groups.where("low < high").select("h", "m", "pivot.*"), "similar-groups")
-        few = groups.where(F.col("m") <= PAIRED) if star < STARS else groups
+        few = groups.where(F.col("m") <= PAIRED)
         own = left.join(few.select("h"), "h", "left_semi")
         pairs = own.alias("a").join(own.alias("b"), "h").where(f"a.fp < b.fp AND a.root <> b.root AND {room}").select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
         many = groups.where(F.col("m") > PAIRED)
         if star < STARS:
             around = many.alias("a").join(left.alias("b"), "h").where(f"a.fp <> b.fp AND a.root <> b.root AND {room}")
             pairs = pairs.union(around.select(F.least("a.fp", "b.fp").alias("a"), F.greatest("a.fp", "b.fp").alias("b")))
+        else:
+            pairs = pairs.union(blocked(left.join(many.select("h", "m"), "h"), every, level))
         new = stored(checked(stored(pairs.distinct(), "similar-pairs"), texts, shingle, level), "similar-links")
         found = found.union(new)
         if star == STARS or many.isEmpty():

@@ -53,9 +53,12 @@ def test_stage_drops_edited_copies(spark):
     assert sorted(r.doc_id for r in found.collect()) == list(range(0, 40, 2)) == brute_kept(docs)
 
 
-@pytest.mark.parametrize("paired", [16, 2])
-def test_deduplicate_is_brute_force(spark, monkeypatch, paired):
-    monkeypatch.setattr(similar, "PAIRED", paired)
+@pytest.mark.parametrize("paired, stars, block", [(16, 2, 1024), (2, 2, 1024), (2, 0, 1024), (2, 0, 8)])
+def test_deduplicate_is_brute_force(spark, monkeypatch, paired, stars, block):
+    """Without stars every pair of a large group is left to the blocks."""
+    compared, real = [], similar.blocked
+    for name, value in {"PAIRED": paired, "STARS": stars, "BLOCK": block, "blocked": lambda *a: compared.append(a) or real(*a)}.items():
+        monkeypatch.setattr(similar, name, value)
     rng = random.Random(6)
     common = [f"c{i}" for i in range(30)]
     docs = []
@@ -68,6 +71,7 @@ def test_deduplicate_is_brute_force(spark, monkeypatch, paired):
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert sorted(r.doc_id for r in similar.deduplicate(df).collect()) == brute_kept(rows)
+    assert compared or stars
 
 
 def test_table_is_brute_force(spark):
