@@ -15,7 +15,7 @@ Any order is right; rare ones first keeps common passages from gathering candida
 comes from counts of hashed shingles in a table of fixed size. Where many texts meet under
 one shingle, a few of them are compared with all others first, as whoever is linked already
 needs no more comparisons; what is not yet linked is compared block by block, and only pairs
-whose rare shingles leave room for the similarity come out of that.
+whose bitmaps of shingles leave room for the similarity come out of that.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ COUNTERS, CHUNK = 1 << 20, 1 << 12
 PAIRED, STARS = 16, 2
 #: Texts of a block of a larger group; a task compares two blocks.
 BLOCK = 1024
+#: Bytes of bitmaps that one text is compared with at once.
+COMPARED_BYTES = 1 << 22
 MEMO_WORDS = 500_000
 SPACES = r"[\x09-\x0D\x20]+"
 
@@ -182,12 +184,65 @@ def meetings(rows: DataFrame, level: Fraction) -> DataFrame:
     return rows.select("h", "fp", "n", "at").repartition("h").sortWithinPartitions("h", "fp").mapInArrow(run, "h long, a long, b long")
 
 
-def blocked(rows: DataFrame, every: DataFrame, level: Fraction) -> DataFrame:
+def bitmaps(texts: DataFrame, shingle: int) -> DataFrame:
+    """Every text `fp` with a bitmap of its hashed shingles, of 16 to 32 bits a shingle and a power of two in all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            text, h = hashed(batch.column(1), shingle)
+            n = np.bincount(text, minlength=batch.num_rows)
+            maps = []
+            for own in np.split(h, np.cumsum(n)[:-1]):
+                bits = max(64, 1 << (16 * len(own) - 1).bit_length())
+                held = np.zeros(bits, bool)
+                held[(own % np.uint64(bits)).astype(np.int64)] = True
+                maps.append(np.packbits(held).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(maps, pa.binary())], names=["fp", "bits"])
+
+    return texts.select("fp", "text").mapInArrow(run, "fp long, bits binary")
+
+
+class Overlaps:
+    """Upper bounds of how many shingles two texts share, from their bitmaps.
+
+    Shingles whose bit the other text lacks are not shared. The longer of two bitmaps is folded to the length of the other.
+    """
+
+    def __init__(self, maps: list[bytes], n: np.ndarray):
+        self.n, self.sizes, self.row, self.folds = n, np.array([len(x) for x in maps]), np.zeros(len(maps), np.int64), {}
+        for size in np.unique(self.sizes).tolist():
+            at = np.flatnonzero(self.sizes == size)
+            self.row[at] = np.arange(len(at))
+            self.hold(size, size, np.frombuffer(b"".join(maps[i] for i in at.tolist()), np.uint64).reshape(len(at), -1))
+
+    def hold(self, size: int, to: int, bits: np.ndarray) -> None:
+        self.folds[size, to] = bits, np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+
+    def folded(self, size: int, to: int) -> tuple[np.ndarray, np.ndarray]:
+        if (size, to) not in self.folds:
+            bits = self.folds[size, size][0]
+            self.hold(size, to, np.bitwise_or.reduce(bits.reshape(len(bits), size // to, to // 8), axis=1))
+        return self.folds[size, to]
+
+    def most(self, x: int, y: np.ndarray) -> np.ndarray:
+        """The bound of text x with each text of y."""
+        found, own = np.zeros(len(y), np.int64), int(self.sizes[x])
+        for size in np.unique(self.sizes[y]).tolist():
+            to, at = min(size, own), np.flatnonzero(self.sizes[y] == size)
+            (mine, ones), (others, others_ones) = self.folded(own, to), self.folded(size, to)
+            step = max(1, COMPARED_BYTES // to)
+            for part in (at[i : i + step] for i in range(0, len(at), step)):
+                rows = self.row[y[part]]
+                both = np.bitwise_count(others[rows] & mine[self.row[x]]).sum(axis=1, dtype=np.int64)
+                found[part] = both + np.minimum(self.n[x] - ones[self.row[x]], self.n[y[part]] - others_ones[rows])
+        return found
+
+
+def blocked(rows: DataFrame, every: DataFrame, texts: DataFrame, shingle: int, level: Fraction) -> DataFrame:
     """`a`, `b`: pairs of texts under one shingle that have different roots, share no rarer shingle and may be similar.
 
     `rows` have `h`, `fp`, `n`, `at`, `root` and `m`, the size of their group; `every` is all that `filed` gave. No
-    task holds a whole group: it gets two blocks of it. What two sets share is among the rare shingles of both, or
-    behind the last rare one of either.
+    task holds a whole group: it gets two blocks of it. Bitmaps of all shingles bound what two texts share.
     """
     p, q = level.numerator, level.denominator
 
@@ -196,22 +251,23 @@ def blocked(rows: DataFrame, every: DataFrame, level: Fraction) -> DataFrame:
         fp, n, at, root, block = (table.column(c).to_numpy().astype(np.int64) for c in ("fp", "n", "at", "root", "block"))
         rare = table.column("rare").to_pylist()
         sets, before = [frozenset(x) for x in rare], [x[:k] for x, k in zip(rare, at.tolist())]
-        behind = [size - len(x) for size, x in zip(n.tolist(), rare)]
+        overlaps = Overlaps(table.column("bits").to_pylist(), n)
         second, found = np.flatnonzero(block == j), []
         for x in np.flatnonzero(block == i).tolist():
             y = second[second > x] if i == j else second
             both = n[y] + n[x]
-            fits = (root[y] != root[x]) & (np.minimum(n[y], n[x]) * q >= np.maximum(n[y], n[x]) * p) & (np.minimum(n[y] - at[y], n[x] - at[x]) * (p + q) >= both * p)
-            for k, size in zip(y[fits].tolist(), both[fits].tolist()):
-                if sets[k].isdisjoint(before[x]) and (len(sets[k] & sets[x]) + max(behind[k], behind[x])) * (p + q) >= size * p:
-                    found.append((k, x))
+            y = y[(root[y] != root[x]) & (np.minimum(n[y], n[x]) * q >= np.maximum(n[y], n[x]) * p) & (np.minimum(n[y] - at[y], n[x] - at[x]) * (p + q) >= both * p)]
+            y = y[overlaps.most(x, y) * (p + q) >= (n[y] + n[x]) * p]
+            found += [(k, x) for k in y.tolist() if sets[k].isdisjoint(before[x])]
         k, x = np.array(found, np.int64).reshape(-1, 2).T
         return pa.table([pa.array(np.minimum(fp[k], fp[x])), pa.array(np.maximum(fp[k], fp[x]))], names=["a", "b"])
 
-    rare = every.join(rows.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("at", "h")))["h"].alias("rare"))
+    named = stored(rows.select("fp").distinct(), "similar-named")
+    rare = every.join(named, "fp", "left_semi").groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("at", "h")))["h"].alias("rare"))
     blocks = F.ceil(F.col("m") / BLOCK).cast("long")
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), blocks)).join(rare, "fp").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = dealt.select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp", "n", "at", "root", "block", "rare")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), blocks)).join(rare, "fp").join(bitmaps(texts.join(named, "fp", "left_semi"), shingle), "fp")
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp", "n", "at", "root", "block", "rare", "bits")
     return dealt.groupBy("h", "i", "j").applyInArrow(compare, "a long, b long")
 
 
@@ -278,7 +334,7 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: str = SI
             around = many.alias("a").join(left.alias("b"), "h").where(f"a.fp <> b.fp AND a.root <> b.root AND {room}")
             pairs = pairs.union(around.select(F.least("a.fp", "b.fp").alias("a"), F.greatest("a.fp", "b.fp").alias("b")))
         else:
-            pairs = pairs.union(blocked(left.join(many.select("h", "m"), "h"), every, level))
+            pairs = pairs.union(blocked(left.join(many.select("h", "m"), "h"), every, texts, shingle, level))
         new = stored(checked(stored(pairs.distinct(), "similar-pairs"), texts, shingle, level), "similar-links")
         found = found.union(new)
         if star == STARS or many.isEmpty():

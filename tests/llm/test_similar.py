@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from conftest import SMALL
@@ -74,6 +75,26 @@ def test_deduplicate_is_brute_force(spark, monkeypatch, paired, stars, block):
     assert compared or stars
 
 
+def test_bitmaps_bound_what_is_shared(spark):
+    """Of texts of one word to thousands the bound is never too low, and close."""
+    rng = random.Random(7)
+    texts = ["a"]
+    for size in (8, 60, 250, 1000, 4000):
+        base = [f"w{rng.randint(0, 9999)}" for _ in range(size)]
+        texts += [" ".join(edited(rng, base[: size - size // 9 * k], size // 50)) for k in (0, 0, 1, 2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "fp long, text string").coalesce(1)
+    rows = sorted(similar.bitmaps(df, 5).collect())
+    sets = [similar.shingles(t, 5) for t in texts]
+    n = np.array([len(x) for x in sets])
+    overlaps = similar.Overlaps([bytes(r.bits) for r in rows], n)
+    for x, own in enumerate(sets):
+        found = overlaps.most(x, np.arange(len(sets)))
+        for k, other in enumerate(sets):
+            assert len(own & other) <= found[k]
+            if 5 * min(n[x], n[k]) >= 4 * max(n[x], n[k]):
+                assert found[k] <= len(own & other) + max(8, n[x] // 5)
+
+
 def test_table_is_brute_force(spark):
     docs = load(spark, SMALL, "documents")
     kept = similar.deduplicate(docs)
