@@ -57,6 +57,20 @@ def source_record_token(c: Column, kind: T.DataType) -> Column:
     return fitted(text)
 
 
+def record_token(schema: T.StructType, keys: tuple[str, ...]) -> Column:
+    """F1 of a whole key: tokens of its columns, joined by `|`."""
+    each = [source_record_token(F.col(f"`{k}`"), schema[k].dataType) for k in keys]
+    return each[0] if len(each) == 1 else fitted(F.concat_ws("|", *(F.coalesce(c, F.lit("")) for c in each)))
+
+
+def identity_text(columns: list[Column]) -> Column:
+    """A key as one text, different for different keys: a single column's text, several with their lengths; a null is its own value among several."""
+    texts = [c.cast("string") for c in columns]
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*(F.when(c.isNull(), "-").otherwise(F.concat(F.length(c).cast("string"), F.lit(":"), c)) for c in texts))
+
+
 def fitted(text: Column) -> Column:
     """Key text in at most 100 characters. Of a longer one the first 67, `#` and 32 digits of its SHA-256 stay, so that keys which differ later remain apart."""
     return F.when(F.length(text) <= RECORD_ID_WIDTH, text).otherwise(F.concat(F.substring(text, 1, RECORD_ID_WIDTH - 33), F.lit("#"), F.substring(F.sha2(text.cast("binary"), 256), 1, 32)))
@@ -123,12 +137,17 @@ def clean_text(c: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}\.\d{6}$"), F.substring(text, 1, 23)).otherwise(text)
 
 
-def normalize(df: DataFrame, epoch_ms: tuple[str, ...] = (), uuids: tuple[str, ...] = ()) -> DataFrame:
-    """P2. Every column as the target takes it: texts cleaned, bytes as text, times as text with milliseconds, decimals as doubles."""
+def normalize(df: DataFrame, epoch_ms: tuple[str, ...] = (), uuids: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    """P2. Every column as the target takes it: texts cleaned, bytes as text, times as text with milliseconds, decimals as doubles.
+
+    Columns in `keep` stay as they are: keys, and what refers to them, must not lose digits or become equal.
+    """
     out = []
     for f in df.schema:
         c = F.col(f"`{f.name}`")
-        if f.name in epoch_ms:
+        if f.name in keep:
+            pass
+        elif f.name in epoch_ms:
             c = epoch_ms_text(c)
         elif isinstance(f.dataType, T.BinaryType):
             c = strip(text_of_bytes(c))

@@ -76,17 +76,22 @@ def pending_by_table(log: DataFrame) -> DataFrame:
 
 
 def apply_outcomes(log: DataFrame, outcomes: DataFrame, now: str, source_id: str, max_retries: int = MAX_RETRIES, allow: Iterable[str] = (), deny: Iterable[str] = ()) -> DataFrame:
-    """L1. The log after a batch. `outcomes`: (table_name, pk_value, outcome `done` or `deferred`, reason).
+    """L1. The log after a batch that has read all of it. `outcomes`: (table_name, pk_value, outcome `done` or `deferred`, reason).
 
     All pending log rows of a key share its outcome. Rows out of scope, and keys whose only changes lead to
     no write (outcome `done`), are processed. A deferred row is parked at `max_retries`.
     """
     known = outcomes.select("table_name", "pk_value", "outcome", "reason")
-    rows = log.join(known, ["table_name", "pk_value"], "left")
+    rows = log.drop("reason").join(known, ["table_name", "pk_value"], "left").select(*log.columns, "outcome", "reason")
+    return marked(rows.withColumn("outcome", F.when(~in_scope(F.col("table_name"), allow, deny), "done").otherwise(F.col("outcome"))), now, source_id, max_retries)
+
+
+def marked(rows: DataFrame, now: str, source_id: str | None, max_retries: int = MAX_RETRIES) -> DataFrame:
+    """L1. Log rows with their `outcome` (done, deferred or null) and `reason`, as they are after it."""
+    names = [c for c in rows.columns if c not in ("outcome", "reason", "source_id")]
     open_ = F.col("status") == PENDING
-    done = open_ & ((F.col("outcome") == "done") | ~in_scope(F.col("table_name"), allow, deny))
-    late = open_ & ~done & (F.col("outcome") == "deferred")
-    done, late = F.coalesce(done, F.lit(False)), F.coalesce(late, F.lit(False))
+    done = F.coalesce(open_ & (F.col("outcome") == "done"), F.lit(False))
+    late = F.coalesce(open_ & (F.col("outcome") == "deferred"), F.lit(False))
     parked = late & (F.col("retry_count") + 1 >= max_retries)
     closed = done | parked
     return rows.withColumns(
@@ -94,10 +99,10 @@ def apply_outcomes(log: DataFrame, outcomes: DataFrame, now: str, source_id: str
             "status": F.when(done, PROCESSED).when(parked, PARKED).otherwise(F.col("status")),
             "retry_count": F.when(late, F.col("retry_count") + 1).otherwise(F.col("retry_count")).cast("int"),
             "processed_at": F.when(closed, F.lit(now).cast(T.TimestampNTZType())).otherwise(F.col("processed_at")),
-            "source_id": F.when(closed, F.lit(source_id)).otherwise(F.col("source_id") if "source_id" in log.columns else F.lit(None).cast("string")),
+            "source_id": F.when(closed, F.lit(source_id)).otherwise(F.col("source_id") if "source_id" in rows.columns else F.lit(None).cast("string")),
             "reason": F.when(late, F.col("reason")),
         }
-    ).select(*log.columns, *([] if "source_id" in log.columns else ["source_id"]), "reason")
+    ).select(*names, "source_id", "reason")
 
 
 def purge_log(log: DataFrame, days: int, now: str) -> DataFrame:

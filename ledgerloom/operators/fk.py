@@ -85,10 +85,15 @@ def remap_fks(child: DataFrame, parents: dict[str, DataFrame], links: list[Link]
     return ready.select(*child.columns), back.select(*child.columns)
 
 
-def split_by_parent(child: DataFrame, parents: dict[str, DataFrame], links: list[Link]) -> tuple[DataFrame, DataFrame]:
-    """J6. (ready, deferred): rows whose non-null foreign keys all exist on the target, unchanged, and the others."""
+def with_found(child: DataFrame, parents: dict[str, DataFrame], links: list[Link]) -> DataFrame:
+    """`child` with `_late_i` for every link i whose parent is unknown; foreign keys stay."""
     out = child
     for i, link in enumerate(links):
         ids = parents[link.parent_table].select(F.col(link.parent_col).alias(f"_token_{i}")).where(f"_token_{i} IS NOT NULL").distinct().withColumn(f"_id_{i}", F.lit(None))
         out = _resolved(out.withColumn(f"_fk_{i}", F.col(link.child_col)), link, ids, i, rewrite=False)
-    return _split(out, child.columns, len(links))
+    return out
+
+
+def split_by_parent(child: DataFrame, parents: dict[str, DataFrame], links: list[Link]) -> tuple[DataFrame, DataFrame]:
+    """J6. (ready, deferred): rows whose non-null foreign keys all exist on the target, unchanged, and the others."""
+    return _split(with_found(child, parents, links), child.columns, len(links))

@@ -11,18 +11,18 @@ from pyspark.sql import types as T
 from ledgerloom.functions import tokens
 
 
-def stamp_lineage(df: DataFrame, source_id: str, key: str) -> DataFrame:
+def stamp_lineage(df: DataFrame, source_id: str, key: str | tuple[str, ...]) -> DataFrame:
     """P5. `df` with its source and the token of its key."""
-    return df.withColumns({"sync_source_id": F.lit(source_id), "source_record_id": tokens.source_record_token(F.col(key), df.schema[key].dataType)})
+    return df.withColumns({"sync_source_id": F.lit(source_id), "source_record_id": tokens.record_token(df.schema, (key,) if isinstance(key, str) else key)})
 
 
-def adopt_legacy(target: DataFrame, changes: DataFrame, key: str, source_id: str, order: list[str] | None = None) -> DataFrame:
+def adopt_legacy(target: DataFrame, changes: DataFrame, key: str | tuple[str, ...], source_id: str, order: list[str] | None = None) -> DataFrame:
     """J12. The target with labels on unlabelled rows whose key is an incoming record id that nothing has matched.
 
     One row a key is adopted, the first in `order` (by default all columns). A merge by lineage then updates it.
     """
     order = order or target.columns
-    token = tokens.source_record_token(F.col(key), target.schema[key].dataType)
+    token = tokens.record_token(target.schema, (key,) if isinstance(key, str) else key)
     held = target.where((F.col("sync_source_id") == source_id) & F.col("source_record_id").isNotNull()).select("source_record_id")
     wanted = changes.select("source_record_id").where("source_record_id IS NOT NULL").distinct().join(held, "source_record_id", "left_anti")
     loose = target.where(F.col("sync_source_id").isNull()).withColumn("_token", token)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,15 +50,20 @@ def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*((F.col(names[f.name.lower()]).try_cast(f.dataType) if f.name.lower() in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema))
 
 
-def split_rejects(df: DataFrame, schema: T.StructType, key: str) -> tuple[DataFrame, DataFrame]:
-    """P8. (rows that land, rejected keys with the reason): no null where the target allows none, no value it can't hold."""
+def rejection(df: DataFrame, schema: T.StructType) -> Column:
+    """P8. Why a row can't land: a null where `schema` allows none, or a value it can't hold; null for rows that can."""
     reason = F.lit(None).cast("string")
     for f in reversed([f for f in schema if f.name in df.columns]):
-        c = F.col(f.name)
+        c = F.col(f"`{f.name}`")
         reason = F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}")).otherwise(reason)
         if not f.nullable:
             reason = F.when(c.isNull(), F.lit(f"{f.name}: null")).otherwise(reason)
-    marked = df.withColumn("_reason", reason)
+    return reason
+
+
+def split_rejects(df: DataFrame, schema: T.StructType, key: str) -> tuple[DataFrame, DataFrame]:
+    """P8. (rows that land, rejected keys with the reason): no null where the target allows none, no value it can't hold."""
+    marked = df.withColumn("_reason", rejection(df, schema))
     ok = marked.where(F.col("_reason").isNull()).select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema if f.name in df.columns))
     return ok, marked.where(F.col("_reason").isNotNull()).select(F.col(key).cast("string").alias("pk_value"), F.col("_reason").alias("reason"))
 

@@ -166,7 +166,7 @@ def st1_lineage(spark, sf):
 )
 def st3(spark, sf):
     log = fixture(spark, sf, "audit_log").withColumn("retry_count", F.lit(0))
-    return streaming.marked_log(spark, run_orders_stream(spark, sf), log, NOW, "A").select("log_id", "table_name", "pk_value", "status")
+    return streaming.marked_log(spark, run_orders_stream(spark, sf), log).select("log_id", "table_name", "pk_value", "status")
 
 
 # Projections and filters.

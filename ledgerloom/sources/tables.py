@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Buckets of a target that is written in parts; a batch rewrites those that it touches.
-BUCKETS, BUCKET = 16, "bucket_no"
+from ledgerloom.sources.folders import children, read_text, remove, write_text
 
 
 def read_table(spark: SparkSession, src: str | dict, table: str, drop: tuple[str, ...] = (), split: tuple[str, int, int, int] | None = None) -> DataFrame:
@@ -31,69 +29,34 @@ def read_table(spark: SparkSession, src: str | dict, table: str, drop: tuple[str
     return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in unwanted))
 
 
-def write_snapshot(df: DataFrame, path: str, version: int) -> str:
-    """S5. A new version of a target. Readers see it only once its pointer is written, which comes last."""
-    spark = df.sparkSession
-    where = f"{path}/version={version}"
-    df.write.mode("overwrite").parquet(where)
-    spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{path}/pointer")
-    return where
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions of a table: those whose pointer is written. Pointers are told by name; none is read."""
+    return sorted(int(name.split("=")[1]) for name in children(spark, f"{path}/pointer") if name.startswith("version=") and ".draft" not in name)
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder; none if there is no folder."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
+def current_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """The latest complete version (below `before`)."""
+    return max((v for v in versions(spark, path) if before is None or v < before), default=None)
 
 
-def current_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
-    """The latest version (below `before`) whose pointer is written."""
-    if not children(spark, f"{path}/pointer"):
-        return None
-    rows = spark.read.schema("version long").parquet(f"{path}/pointer")
-    return (rows if before is None else rows.where(F.col("version") < before)).agg(F.max("version")).first()[0]
+def write_snapshot(df: DataFrame, path: str, version: int) -> str:
+    """S5. A new version of a whole table. Readers see it only once its pointer is written, which comes last."""
+    where = f"{path}/version={version}"
+    df.write.mode("overwrite").parquet(where)
+    write_text(df.sparkSession, f"{path}/pointer/version={version}", df.schema.json())
+    return where
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     version = current_version(spark, path) if version is None else version
     if version is None:
         raise FileNotFoundError(f"no version of {path} is complete")
-    return spark.read.parquet(f"{path}/version={version}")
+    kind = T.StructType.fromJson(json.loads(read_text(spark, f"{path}/pointer/version={version}")))
+    return spark.read.schema(kind).parquet(f"{path}/version={version}")
 
 
-def bucket_of(key: str, buckets: int = BUCKETS):
-    return F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(buckets)).cast("int")
-
-
-POINTER = "version long, kind string, state map<int, long>"
-
-
-def _state(spark: SparkSession, path: str, before: int | None) -> tuple[T.StructType, dict[int, int]]:
-    """The schema of a bucketed target, and the version that each of its buckets that have rows is in."""
-    rows = spark.read.schema(POINTER).parquet(f"{path}/pointer")
-    last = (rows if before is None else rows.where(F.col("version") < before)).orderBy(F.desc("version")).first()
-    if last is None:
-        raise FileNotFoundError(f"no version of {path} is complete")
-    return T.StructType.fromJson(json.loads(last.kind)), dict(last.state)
-
-
-def write_buckets(df: DataFrame, path: str, version: int, key: str, touched: Iterable[int] | None = None, buckets: int = BUCKETS) -> None:
-    """S5. A new version of the `touched` buckets of a target (all, by default); others stay in the version they are in.
-
-    `df` holds all rows of those buckets. The pointer comes last and lists the version of every bucket, so that
-    readers see either all of a version or nothing of it, and writing it again changes nothing.
-    """
-    spark, where = df.sparkSession, f"{path}/version={version}"
-    df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite").parquet(where)
-    held = {} if touched is None else {b: v for b, v in _state(spark, path, version)[1].items() if b not in set(touched)}
-    held |= {int(name.split("=")[1]): version for name in children(spark, where) if name.startswith(f"{BUCKET}=")}
-    spark.createDataFrame([(version, df.schema.json(), held)], POINTER).coalesce(1).write.mode("append").parquet(f"{path}/pointer")
-
-
-def read_buckets(spark: SparkSession, path: str, before: int | None = None, only: Iterable[int] | None = None) -> DataFrame:
-    """A bucketed target as of the latest version (below `before`), or only some of its buckets."""
-    kind, state = _state(spark, path, before)
-    wanted = set(state) if only is None else set(only)
-    paths = [f"{path}/version={v}/{BUCKET}={b}" for b, v in sorted(state.items()) if b in wanted]
-    return spark.read.schema(kind).parquet(*paths) if paths else spark.createDataFrame([], kind)
+def drop_snapshots(spark: SparkSession, path: str, keep: int) -> None:
+    """Removes all but the last `keep` versions of a table of snapshots."""
+    for v in versions(spark, path)[:-keep]:
+        remove(spark, f"{path}/pointer/version={v}")
+        remove(spark, f"{path}/version={v}")

@@ -254,18 +254,6 @@ def test_replayed_batch_changes_nothing(spark):
     assert rows(streaming.read_target(spark, root, "t")) == [(1, "new"), (2, "kept")]
 
 
-def test_only_touched_buckets_are_written(spark):
-    path = new_folder(spark, "buckets")
-    df = spark.range(200).withColumn("v", F.lit("old"))
-    tables.write_buckets(df, path, -1, "id")
-    [bucket] = {r[0] for r in spark.range(7, 8).select(tables.bucket_of("id")).collect()}
-    part = tables.read_buckets(spark, path, 0, [bucket])
-    assert 0 < part.count() < 200
-    tables.write_buckets(part.where("id <> 7"), path, 0, "id", [bucket])
-    assert tables.read_buckets(spark, path).count() == 199 and tables.read_buckets(spark, path, 0).count() == 200
-    assert tables.children(spark, f"{path}/version=0") != [] and len([x for x in tables.children(spark, f"{path}/version=0") if x.startswith(tables.BUCKET)]) == 1
-
-
 def test_repeated_lineage_does_not_multiply_children(spark):
     parent = spark.createDataFrame([(102, "A", "1"), (101, "A", "1")], "id long, sync_source_id string, source_record_id string")
     child = spark.createDataFrame([(1, 1)], "k long, a long")
