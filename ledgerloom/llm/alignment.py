@@ -13,10 +13,9 @@ of the block, with a leading byte that says which.
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from hashlib import sha256
-from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,30 +39,18 @@ GAP = "▁"
 MEMO_UNITS = 600_000
 
 
-class Unit:
-    """The alignment of a piece of text: how many tokens of A and B, groups and links, the groups as text, the links as pairs."""
+class Unit(NamedTuple):
+    """The alignment of a piece of text: how many tokens of A and B, groups and links; the groups as text; the links as pairs."""
 
-    __slots__ = ("numbers", "groups", "pairs")
-
-    def __init__(self, a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]):
-        groups, pairs, i, j, at_a, at_b, n_a, n_b = [], array("q"), 0, 0, 0, 0, len(a_ids), len(b_ids)
-        while i < n_a and j < n_b:
-            pairs.append(a_ids[i] << B_BITS | b_ids[j])
-            end_a, end_b = a_ends[i], b_ends[j]
-            if end_a < end_b:
-                i += 1
-            elif end_b < end_a:
-                j += 1
-            else:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a_ids[at_a:i]))}|{','.join(map(str, b_ids[at_b:j]))}")
-                at_a, at_b = i, j
-        self.numbers = (n_a, n_b, len(groups), len(pairs))
-        self.groups, self.pairs = ";".join(groups).encode(), pairs.tobytes()
+    numbers: tuple[int, int, int, int]
+    groups: bytes
+    pairs: bytes
 
 
 #: What stands for a piece that a tokenizer doesn't give back; a text with one has no tokens.
-NOTHING = Unit([], [], [], [])
+NOTHING = Unit((0, 0, 0, 0), b"", b"")
+#: What follows an id in the text of groups.
+MARKS = (b",", b"|", b";", b"")
 
 
 class Aligner(bpe.PieceMemo):
@@ -84,16 +71,50 @@ class Aligner(bpe.PieceMemo):
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=paths[1])
         letters = {c: b for b, c in bpe.LETTERS.items()}
-        self.a_bytes = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else b"" for t, i in self.a.get_vocab().items()}
+        named = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else b"" for t, i in self.a.get_vocab().items()}
+        self.a_bytes = [named.get(i, b"") for i in range(max(named) + 1)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(GAP, " ").encode() for i, p in enumerate(self.b.id_to_piece(list(range(self.b.get_piece_size()))))]
-
-    def aligned(self, text: str, a_ids: list[int], b_ids: list[int]) -> Unit:
-        """The unit, if both token rows spell `text`."""
-        a, b = list(map(self.a_bytes.__getitem__, a_ids)), list(map(self.b_bytes.__getitem__, b_ids))
-        own = text.encode()
-        if b"".join(a) != own or b"".join(b) != own:
-            return NOTHING
-        return Unit(a_ids, list(accumulate(map(len, a))), b_ids, list(accumulate(map(len, b))))
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.most = max(len(self.a_bytes), len(self.b_bytes))
+        self.marked = [b"%d%s" % (i, mark) for mark in MARKS for i in range(self.most)]
+        self.marked_sizes = np.array(list(map(len, self.marked)), np.int64)
+
+    def aligned(self, pieces: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> list[Unit]:
+        """The units of `pieces`, all at once; NOTHING for those that a row of tokens doesn't spell.
+
+        The pieces lie end to end. Every place where a token of A or B ends is one link, of the tokens that
+        hold the byte before it; every place where both end closes a group.
+        """
+        raw = [p.encode() for p in pieces]
+        size = np.array(list(map(len, raw)), np.int64)
+        n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (a_ids, b_ids))
+        a, b = (np.array([i for x in ids for i in x], np.int64) for ids in (a_ids, b_ids))
+        of_a, of_b = (np.repeat(np.arange(len(raw)), n) for n in (n_a, n_b))
+        total = lambda of, w: np.bincount(of, w, len(raw)).astype(np.int64)
+        good = (total(of_a, self.a_sizes[a]) == size) & (total(of_b, self.b_sizes[b]) == size) & (size > 0)
+        spelled = lambda ids, table: b"".join(map(table.__getitem__, ids))
+        a, b, of_a, of_b = a[good[of_a]], b[good[of_b]], of_a[good[of_a]], of_b[good[of_b]]
+        own = b"".join(raw[i] for i in np.flatnonzero(good).tolist())
+        if spelled(a.tolist(), self.a_bytes) != own or spelled(b.tolist(), self.b_bytes) != own:
+            if len(pieces) == 1:
+                return [NOTHING]
+            return [u for p, x, y in zip(pieces, a_ids, b_ids) for u in self.aligned([p], [x], [y])]
+        end_a, end_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        ends = np.union1d(end_a, end_b)
+        at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+        pairs, n_links = (a[at_a] << B_BITS | b[at_b]).tobytes(), np.bincount(of_a[at_a], minlength=len(raw))
+        closing = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(closing, end_a), np.searchsorted(closing, end_b)
+        last_a, last_b = closing[group_a] == end_a, closing[group_b] == end_b
+        n_groups = np.bincount(of_b[last_b], minlength=len(raw))
+        final = last_b & (np.append(of_b[1:], -1) != of_b)
+        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
+        codes = np.concatenate((a + self.most * last_a, b + self.most * np.where(final, 3, 2 * last_b)))[order]
+        groups, n_text = spelled(codes.tolist(), self.marked), total(np.concatenate((of_a, of_b))[order], self.marked_sizes[codes])
+        out, to_text, to_link = [], np.cumsum(n_text).tolist(), (8 * np.cumsum(n_links)).tolist()
+        for ok, *numbers, t, e, l, f in zip(good.tolist(), n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), n_text.tolist(), to_text, n_links.tolist(), to_link):
+            out.append(Unit(tuple(numbers), groups[e - t : e], pairs[f - 8 * l : f]) if ok else NOTHING)
+        return out
 
     def learn(self, pieces: list[str]) -> list[Unit]:
         a, other, tokenize = [], [], self.a.model.tokenize
@@ -107,13 +128,13 @@ class Aligner(bpe.PieceMemo):
             a[i] = encoding.ids
         # B puts a space first: a unit goes without its own, and before a line end the space is dropped again.
         b = self.b.encode([p.removeprefix(" ") for p in pieces], num_threads=1)
-        return [self.aligned(p, x, y if p[0] == " " else y[1:]) for p, x, y in zip(pieces, a, b)]
+        return self.aligned(pieces, a, [y if p[0] == " " else y[1:] for p, y in zip(pieces, b)])
 
     def whole(self, text: str) -> Unit:
         """The unit of a text that can't be cut."""
         if GAP in text:
             return NOTHING
-        return self.aligned(" " + text, self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text, num_threads=1))
+        return self.aligned([" " + text], [self.a.encode(" " + text, add_special_tokens=False).ids], [self.b.encode(text, num_threads=1)])[0]
 
     def documents(self, texts: pa.Array) -> Iterator[tuple[list[int], str, bytes]]:
         """Of each of `texts` (no nulls): its numbers, the digest of its groups, its links as pairs."""
@@ -188,9 +209,12 @@ class Block:
         self.n_links += len(pairs)
 
     def postings(self) -> tuple[list[int], list[list[bytes]]]:
-        pairs, numbers = np.unique(np.concatenate(self.pairs) if self.pairs else np.empty(0, np.int64), return_inverse=True)
-        docs = np.repeat(np.arange(self.docs), self.counts)
-        entries, times = np.unique(numbers << 16 | docs, return_counts=True)
+        links = np.concatenate(self.pairs) << 16 | np.repeat(np.arange(self.docs), self.counts)
+        links.sort()
+        first = np.flatnonzero(np.diff(links, prepend=-1))
+        times, links = np.diff(first, append=len(links)), links[first]
+        new = np.diff(links >> 16, prepend=-1) != 0
+        pairs, entries = links[new] >> 16, (np.cumsum(new) - 1) << 16 | links & 0xFFFF
         out = [[] for _ in pairs]
         for k in range(int(times.max(initial=0)).bit_length()):
             # Of a pair without documents in this plane an empty bitmap stands, if a higher plane has some.
@@ -204,9 +228,9 @@ class Block:
         return pairs.tolist(), out
 
 
-#: A row is either a document of a block (`pair` is null) or the posting of a pair in a block (`place` is null).
-INDEX = "block long, place int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, planes array<binary>"
-INDEX_ARROW = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pair", pa.int64()), ("planes", pa.list_(pa.binary()))])
+#: A row is either a document of a block (`pairs` is null) or all postings of a block, pair by pair (`place` is null).
+INDEX = "block long, place int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, planes array<array<binary>>"
+INDEX_ARROW = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pairs", pa.list_(pa.int64())), ("planes", pa.list_(pa.list_(pa.binary())))])
 
 
 def table(**columns) -> pa.RecordBatch:
@@ -233,8 +257,7 @@ def indexed(docs: DataFrame, tokenizers: tuple[str, str] = (TOKENIZER_A, TOKENIZ
             def written():
                 nonlocal block, number
                 pairs, planes = block.postings()
-                for a in range(0, len(pairs), 1 << 16):
-                    yield table(block=[number] * len(pairs[a : a + (1 << 16)]), pair=pairs[a : a + (1 << 16)], planes=planes[a : a + (1 << 16)])
+                yield table(block=[number], pairs=[pairs], planes=[planes])
                 block, number = Block(), number + 1
 
             for key, (numbers, digest, pairs) in zip(ids, aligner.documents(pc.fill_null(batch.column(1), ""))):
@@ -254,10 +277,11 @@ def pair_counts(index: DataFrame) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            planes = batch.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([popcount(merged(p)) for p in planes], pa.int64()), pa.array([sum(popcount(x) << k for k, x in enumerate(p)) for p in planes], pa.int64())], names=["pair", "n_docs", "n_links"])
+            for at in range(batch.num_rows):
+                planes = batch.column(1)[at].as_py()
+                yield pa.RecordBatch.from_arrays([batch.column(0)[at].values, pa.array([popcount(merged(p)) for p in planes], pa.int64()), pa.array([sum(popcount(x) << k for k, x in enumerate(p)) for p in planes], pa.int64())], names=["pair", "n_docs", "n_links"])
 
-    each = index.where("pair IS NOT NULL").select("pair", "planes").mapInArrow(counted, "pair long, n_docs long, n_links long")
+    each = index.where("pairs IS NOT NULL").select("pairs", "planes").mapInArrow(counted, "pair long, n_docs long, n_links long")
     sums = stored(each.groupBy("pair").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_links").alias("n_links")), "align-pairs")
     sums = sums.select("pair", F.shiftright("pair", B_BITS).alias("a"), F.col("pair").bitwiseAND((1 << B_BITS) - 1).alias("b"), "n_docs", "n_links")
     best = sums.groupBy("b").agg(F.max("n_links").alias("most"))
@@ -270,27 +294,33 @@ SCORES = "block long, place int, n_best long, count_sum long"
 def scored(index: DataFrame, counts: DataFrame) -> DataFrame:
     """Of every document that holds a pair: (block, place), its links that are best for their B id, and the sum of its links' counts.
 
-    A block's postings, which are bounded, meet in one task.
+    Only the numbers of the pairs travel to be joined with their counts; what comes back to a block is a list of
+    its pairs, which are bounded, and meets its postings.
     """
 
-    def sums(postings: pa.Table) -> pa.Table:
-        n_best, count_sum, seen = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-        for planes, n, best in zip(*(postings.column(c).to_pylist() for c in ("planes", "n_links", "is_best"))):
-            for k, data in enumerate(planes):
-                at = places(data)
-                if len(at) and at[-1] >= len(seen):
-                    grow = max(2 * len(seen), int(at[-1]) + 1) - len(seen)
-                    n_best, count_sum, seen = (np.concatenate((x, np.zeros(grow, x.dtype))) for x in (n_best, count_sum, seen))
-                count_sum[at] += n << k
-                seen[at] = True
-                if best:
-                    n_best[at] += 1 << k
-        at = np.flatnonzero(seen)
-        block = postings.column("block")[0].as_py()
-        return pa.table({"block": pa.array(np.full(len(at), block, np.int64)), "place": pa.array(at, pa.int32()), "n_best": pa.array(n_best[at]), "count_sum": pa.array(count_sum[at])})
-
-    held = index.where("pair IS NOT NULL").select("block", "pair", "planes")
-    return held.join(counts.select("pair", "n_links", "is_best"), "pair").drop("pair").groupBy("block").applyInArrow(sums, SCORES)
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, pairs, planes, said = (batch.column(c)[i] for c in ("block", "pairs", "planes", "said"))
+                pairs, said = pairs.values.to_numpy(), said.values
+                own, n, is_best = (said.field(c).to_numpy(zero_copy_only=False) for c in ("pair", "n_links", "is_best"))
+                order = np.argsort(own)
+                order = order[np.searchsorted(own[order], pairs)]
+                n_best, count_sum, seen = np.zeros(BLOCK_DOCS + 1, np.int64), np.zeros(BLOCK_DOCS + 1, np.int64), np.zeros(BLOCK_DOCS + 1, bool)
+                for held, times, best in zip(planes.as_py(), n[order].tolist(), is_best[order].tolist()):
+                    for k, data in enumerate(held):
+                        at = places(data)
+                        count_sum[at] += times << k
+                        seen[at] = True
+                        if best:
+                            n_best[at] += 1 << k
+                at = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block.as_py(), np.int64)), pa.array(at, pa.int32()), pa.array(n_best[at]), pa.array(count_sum[at])], names=["block", "place", "n_best", "count_sum"])
+
+    held = index.where("pairs IS NOT NULL")
+    asked = held.select("block", F.explode("pairs").alias("pair")).join(counts.select("pair", "n_links", "is_best"), "pair")
+    said = asked.groupBy("block").agg(F.collect_list(F.struct("pair", "n_links", "is_best")).alias("said"))
+    return held.select("block", "pairs", "planes").join(said, "block").mapInArrow(sums, SCORES)
 
 
 def align(docs: DataFrame, **options) -> DataFrame:
@@ -303,7 +333,7 @@ def align(docs: DataFrame, **options) -> DataFrame:
     """
     index = stored(indexed(docs, **options), "align-index")
     found = scored(index, pair_counts(index))
-    own = index.where("pair IS NULL").select("block", "place", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
+    own = index.where("pairs IS NULL").select("block", "place", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
     zero = F.lit(0).cast("long")
     both = own.join(found, ["block", "place"], "left")
     return both.select("doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", zero).alias("n_best"), F.coalesce("count_sum", zero).alias("count_sum"), "groups_sha256")
