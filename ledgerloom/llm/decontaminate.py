@@ -154,7 +154,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents of `docs` in which no benchmark window occurs, with their columns as they were."""
+    """The documents of `docs` in which no benchmark window occurs, with their columns as they were.
+
+    Null and empty texts have no words and stay, as do null ids; equal rows stay or go together. Texts are read
+    whole, however long. Columns keep their names, whatever these are. An empty table, or an empty benchmark,
+    takes nothing away.
+    """
     text = docs.columns.index(options.pop("text", "text"))
     marked = contamination(by_number(docs), benchmark, text=f"c{text}", **options)
     return marked.where("n_hit = 0").drop("n_words", "n_hit", "contam_items", "contam_spans").toDF(*docs.columns)

@@ -120,7 +120,8 @@ def identify(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
 
     A null text, or one without a letter, is `und` with score 0 and rejected, as is any text without a model.
     `rejected` marks texts whose best score lies under the calibrated limit; their `lang_pred` is the best guess.
-    Null ids and repeated rows are kept; other columns, whatever their names, are left out.
+    Null ids and repeated rows are kept; other columns, whatever their names, are left out. A text is read whole,
+    however long. An empty table gives no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(model and tuple(model))
 

@@ -135,7 +135,11 @@ def mixture(docs: DataFrame, percent: int = BUDGET_PERCENT, epochs: int = EPOCHS
 
 
 def mixed(docs: DataFrame, percent: int = BUDGET_PERCENT, epochs: int = 1, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows of `docs` that the mixture takes, with their columns as they were, once for each epoch."""
+    """The rows of `docs` that the mixture takes, with their columns as they were, once for each epoch.
+
+    Nulls, repeated ids and texts without tokens count as in `mixture`; a text counts whole, however long. An
+    empty table stays empty.
+    """
     leaf = leaf_columns(lang, source)
     sized = stored(docs.select(F.col(doc_id).alias("doc_id"), *(c.alias(k) for k, c in leaf.items()), words_in(text).alias("n_tokens")), "mix-sizes")
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(doc_id).alias("doc_id"), *(c.alias(k) for k, c in leaf.items()))

@@ -203,7 +203,8 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, do
     """Per row: `doc_id`, `score`, `predicted`, learned from `labels`, which should hold training labels only.
 
     Null and empty texts are scored by the statistics of an empty text. Null ids stay null and train nothing;
-    repeated rows are scored, and train, each; other columns, whatever their names, are left out.
+    repeated rows are scored, and train, each; other columns, whatever their names, are left out. A text is read
+    whole, however long. An empty table gives no rows.
     """
     stats = stored(with_statistics(docs, doc_id, text), "quality-statistics")
     return scored(stats, fit(stats, labels, doc_id), threshold)

@@ -205,7 +205,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKE
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, with its columns as they were: the smallest id (nulls last), then the smallest hash of the text.
 
-    Rows that share id and text are one document; the first of them stays.
+    Rows that share id and text are one document; of these the one stays whose other columns, as JSON, have the
+    smallest hash, so that only rows that are equal altogether are interchangeable.
     """
     return one_of_each(docs, lambda rows: with_fingerprints(rows, shingle), lambda distinct: links(distinct, bucket), doc_id, text)
 
@@ -217,7 +218,9 @@ def one_of_each(docs: DataFrame, with_fp: Callable[[DataFrame], DataFrame], find
     named = {"is_null": F.col("row").getField(doc_id).isNull(), "doc_id": F.coalesce(F.col("row").getField(doc_id).cast("long"), F.lit(0)), "hash_1": F.xxhash64(text_of), "hash_2": F.xxhash64(F.lit(7), text_of)}
     rows = stored(with_fp(whole.select(*(c.alias(k) for k, c in named.items()), text_of.alias("text"))), "simhash-fingerprints")
     kept = classes(rows, F.struct(*named), find).select("low.*").distinct()
-    return whole.withColumns(named).join(kept, list(named), "left_semi").dropDuplicates(list(named)).select("row.*")
+    others = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in (doc_id, text)]
+    tie = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    return whole.withColumns(named).join(kept, list(named), "left_semi").groupBy(*named).agg(F.min_by("row", tie).alias("row")).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

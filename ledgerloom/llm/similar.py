@@ -56,11 +56,12 @@ def shingles(text: str | None, shingle: int) -> set:
     return set(zip(*(own[i:] for i in range(shingle)))) if len(own) >= shingle else {tuple(own)} if own else set()
 
 
-def content(text: str | None) -> int:
-    """A signed hash of the words of a text. Texts with the same words are copies."""
+def content(text: str | None) -> tuple[int, int]:
+    """Two signed hashes, 128 bits in all, of the words of a text. Texts with the same words are copies."""
     import xxhash
 
-    return int(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words(text)))).view(np.int64))
+    value = xxhash.xxh3_128_intdigest(b" ".join(words(text)))
+    return tuple(np.array([value & (2**64 - 1), value >> 64], np.uint64).view(np.int64).tolist())
 
 
 class WordHashes(PieceMemo):
@@ -343,23 +344,47 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: str = SI
 
 
 def with_content(rows: DataFrame) -> DataFrame:
-    """`rows` with `fp`, the hash of their words, in place of `text`, the last column."""
+    """`rows` with `fp` and `fp_more`, the hashes of their words, in place of `text`, the last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            keys = [content(t) for t in batch.columns[-1].to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(keys, pa.int64())], names=[*batch.schema.names[:-1], "fp"])
+            keys = np.array([content(t) for t in batch.columns[-1].to_pylist()], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=[*batch.schema.names[:-1], "fp", "fp_more"])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text"]
-    return rows.mapInArrow(run, ", ".join([*kinds, "fp long"]))
+    return rows.mapInArrow(run, ", ".join([*kinds, "fp long", "fp_more long"]))
+
+
+def shared(rows: DataFrame) -> DataFrame:
+    """The 64-bit `fp` that stand for different texts, each with the smallest `fp_more`. Some three are to be expected among 10^10 texts."""
+    return rows.select("fp", "fp_more").distinct().groupBy("fp").agg(F.min("fp_more").alias("own"), F.count("*").alias("n")).where("n > 1").select("fp", "own")
+
+
+def told_apart(rows: DataFrame, several: DataFrame | None) -> DataFrame:
+    """`rows` with an `fp` for each 128 bits: where different texts share one (`several`), all but the first get another, made of both halves."""
+    if several is not None:
+        rows = rows.join(several, "fp", "left").withColumn("fp", F.when(F.col("own") != F.col("fp_more"), F.xxhash64("fp", "fp_more")).otherwise(F.col("fp"))).drop("own")
+    return rows.drop("fp_more")
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: str = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component of near-duplicates, as simhash.deduplicate chooses it."""
+    """One row of each component of near-duplicates, as simhash.deduplicate chooses it.
+
+    Texts without words are copies of each other, null texts too; a text of fewer words than a shingle is one
+    shingle. A null id is larger than any. Equal rows are one. A text of any length is compared whole. Columns
+    stay as they are, whatever their names. An empty table stays empty.
+    """
+    held: list[DataFrame] = []
+
+    def with_ids(rows: DataFrame) -> DataFrame:
+        found = stored(with_content(rows), "similar-contents")
+        several = shared(found)
+        held[:] = [] if several.isEmpty() else [stored(several, "similar-several")]
+        return told_apart(found, *held or [None])
 
     def links(_: DataFrame) -> DataFrame:
         own = docs.select(F.col(f"`{text}`").cast("string").alias("own"), F.col(f"`{text}`").cast("string").alias("text"))
-        texts = stored(with_content(own).groupBy("fp").agg(F.min("own").alias("text")), "similar-texts")
+        texts = stored(told_apart(with_content(own), *held or [None]).groupBy("fp").agg(F.min("own").alias("text")), "similar-texts")
         return similar_links(texts, shingle, similarity)
 
-    return one_of_each(docs, with_content, links, doc_id, text)
+    return one_of_each(docs, with_ids, links, doc_id, text)

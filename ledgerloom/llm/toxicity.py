@@ -231,7 +231,12 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The rows of `docs` that are not flagged, with their columns as they were."""
+    """The rows of `docs` that are not flagged, with their columns as they were.
+
+    Null and empty texts have no windows and stay, as do null ids, which train nothing; equal rows stay or go
+    together. Texts are read whole, however long. Columns keep their names, whatever these are. Without rows
+    of both labels there is nothing to learn and nothing goes; an empty table stays empty.
+    """
     model = fit(docs, labels, text=text, **options)
     flagged = toxicity(by_number(docs), model, text=f"c{docs.columns.index(text)}")
     return flagged.where("tox_flag = 0").drop("tox_windows", "tox_score", "tox_flag").toDF(*docs.columns)

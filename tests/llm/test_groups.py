@@ -174,6 +174,34 @@ def test_mixture_of_odd_rows(spark, monkeypatch):
     assert mixing.mixture(docs, percent=200, epochs=2).where("n_tokens > 0").count() == 2 * docs.where("text LIKE '%w%' OR text LIKE '%a%'").count()
 
 
+def test_pipeline_of_odd_and_empty_tables(spark):
+    """Every stage but the last keeps all columns, whatever they hold and are called."""
+    import corpus_pipeline
+
+    names = ["fp", "row", "h", "root", "n_hit", "tox_flag", "c0", "key", "low", "doc", "seq", "part", "hash_1", "epoch", "fp_more"]
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(1, "some plain text here", "en", "s1", 20), (1, "some plain text here", "en", "s1", 20), (1, "another text", "en", "s1", 12), (None, "no id at all", None, None, None), (None, None, None, None, None), (4, "", "de", "s2", 0), (5, None, "fr", None, 1), (6, long, "en", "s1", None), (7, "\n \t 12 !! ", None, "s2", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit(f"{c} kept") for c in names})
+    for df in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            n = df.count()
+            out = stage(spark, df, SMALL)
+            if name == "token_ids":
+                assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() == n
+            else:
+                assert out.columns == docs.columns and out.count() <= n
+                assert n == 0 or name == "source_mixing" or out.where("text LIKE 'w0 w1 %'").count() == 1
+                assert all(r[c] == f"{c} kept" for r in out.select(names).collect() for c in names)
+            if name == "simhash_near_dedup" and n:
+                assert sorted(str(r.doc_id) for r in out.select("doc_id").collect()) == ["1", "1", "4", "6", "7", "None"]
+            df = out
+
+
+def test_mixture_counts_long_texts_whole(spark):
+    docs = spark.createDataFrame([(1, "w " * 300_000, "en", "src0"), (2, "w " * 100_000, "en", "src1")], "doc_id long, text string, lang string, source string")
+    assert sorted(r.n_tokens for r in mixing.mixture(docs, percent=200, epochs=2).where("epoch = 1").collect()) == [100_000, 300_000]
+
+
 def test_pipeline_is_its_stages_by_brute_force(spark):
     import corpus_pipeline
     from ledgerloom.llm import toxicity

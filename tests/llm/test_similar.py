@@ -108,3 +108,18 @@ def test_odd_rows(spark):
     kept = similar.deduplicate(odd)
     assert sorted((str(r.doc_id), r.text[:5]) for r in kept.collect()) == [("1", "anoth"), ("1", "some "), ("4", ""), ("6", "word "), ("None", "no id")]
     assert similar.deduplicate(odd.limit(0)).count() == 0
+
+
+def test_texts_that_share_a_hash_are_told_apart(spark):
+    rows = spark.createDataFrame([(1, 5, 10), (2, 5, 10), (3, 5, 11), (4, 5, 12), (5, 6, 10)], "doc_id long, fp long, fp_more long")
+    several = similar.shared(rows)
+    assert several.collect() == [(5, 10)]
+    fp = {r.doc_id: r.fp for r in similar.told_apart(rows, several).collect()}
+    assert fp[1] == fp[2] == 5 and fp[5] == 6 and len({fp[1], fp[3], fp[4]}) == 3
+    assert similar.shared(rows.where("doc_id IN (1, 2, 5)")).isEmpty()
+
+
+def test_of_equal_ids_and_texts_one_certain_row_stays(spark):
+    rows = [(1, "the same text", f"s{i}") for i in range(20)]
+    kept = {similar.deduplicate(spark.createDataFrame(random.Random(seed).sample(rows, 20), "doc_id long, text string, source string").repartition(4)).collect()[0].source for seed in range(3)}
+    assert len(kept) == 1
