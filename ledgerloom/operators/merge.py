@@ -1,27 +1,49 @@
 """Applying changes to a target: by full key, by lineage, or only what is absent.
 
 Parquet has no MERGE; a merge is the next state of the target as a DataFrame. With few
-changes the target is not shuffled: the changes are broadcast, if a count shows that they
-are few, to the target's rows, and once more to its keys, to find those without a match.
-Else both sides are joined by a shuffle on the key.
+changes the target is not shuffled: the changes are broadcast, if their rows and bytes are
+measured and few, to the target's rows, and once more to its keys, to find those without a
+match. Else both sides are joined by a shuffle on the key. Changes are used more than
+once, so they should be stored (`sources.folders.stored`) before they are merged.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.diff import same
 
-#: Rows of changes up to which they are sent to every task; `changes_count` says how many there are.
-BROADCAST_ROWS = 100_000
+#: Rows and bytes of changes up to which they are sent to every task; `changes_count` says how many rows there are.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
+#: Bytes for which a value of fixed size is counted.
+VALUE_BYTES = 16
 LINEAGE = ("sync_source_id", "source_record_id")
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes of the values of `df`: texts and bytes by their lengths, nested values by their JSON, others by a fixed size."""
+    total = F.lit(0).cast("long")
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.CharType, T.VarcharType)):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        total = total + VALUE_BYTES
+    return df.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
+
+
+def are_few(changes: DataFrame, count: int | None) -> bool:
+    """Whether `changes`, `count` rows, are small enough for every task; few rows are measured, as they may be wide."""
+    return count is not None and count <= BROADCAST_ROWS and size_of(changes) <= BROADCAST_BYTES
+
+
 def fetch_changed(source: DataFrame, changes: DataFrame, key: str, changes_count: int | None = None) -> DataFrame:
     """J1. The current full rows of the source whose key is among the changed keys (text, as in the log)."""
     keys = changes.select(F.col("pk_value").try_cast(source.schema[key].dataType).alias("_key")).where("_key IS NOT NULL").distinct()
-    keys = F.broadcast(keys) if changes_count is not None and changes_count <= BROADCAST_ROWS else keys
+    keys = F.broadcast(keys) if changes_count is not None and changes_count <= BROADCAST_ROWS else keys  # keys are short
     return source.join(keys, source[key] == keys["_key"], "left_semi")
 
 
@@ -80,7 +102,7 @@ def merge_upsert(target: DataFrame, changes: DataFrame, keys: list[str], identit
         for a, b in pairs:
             on = on & a.eqNullSafe(b)
     update = [c for c in changes.columns if c not in keys and c not in identity]
-    return _merged(target, keys, on, update, changed, changes_count is not None and changes_count <= BROADCAST_ROWS)
+    return _merged(target, keys, on, update, changed, are_few(changed, changes_count))
 
 
 def merge_by_lineage(target: DataFrame, changes: DataFrame, source_id: str, key: str, identity: tuple[str, ...] = (), preserve_pk: bool = False, changes_count: int | None = None) -> DataFrame:
@@ -96,7 +118,7 @@ def merge_by_lineage(target: DataFrame, changes: DataFrame, source_id: str, key:
     named, nameless = changes.where(F.col("source_record_id").isNotNull()), changes.where(F.col("source_record_id").isNull())
     changed = _prefixed(named)
     on = (target["sync_source_id"] == changed["_c_sync_source_id"]) & (target["source_record_id"] == changed["_c_source_record_id"])
-    merged = _merged(target, list(LINEAGE), on, update, changed, changes_count is not None and changes_count <= BROADCAST_ROWS)
+    merged = _merged(target, list(LINEAGE), on, update, changed, are_few(changed, changes_count))
     new = nameless.select(*(F.col(c).cast(target.schema[c].dataType).alias(c) if c in changes.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns), F.lit("I").alias("_action"))
     return merged.unionByName(new)
 

@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import changelog, diff, keys, lineage, merge
+from ledgerloom.sources.folders import stored
 
 
 def apply_changes(log: DataFrame, source: DataFrame, target: DataFrame, table: str, key: str, order: list[str]) -> DataFrame:
-    """The target after the pending changes of one table: coalesce, count, fetch current rows, deduplicate, upsert.
+    """The target after the pending changes of one table: coalesce, count, fetch current rows, deduplicate, store, upsert.
 
     `order` says which of several source rows with one key counts; the other columns break its ties.
     """
-    items = changelog.work_items(log.where(F.col("table_name") == table))
-    n = items.count()
-    current = merge.fetch_changed(source, items, key, n)
-    once = keys.dedup_by_key(current, [key], [*order, *(c for c in current.columns if c not in order)])
-    return merge.merge_upsert(target, once, [key], changes_count=n)
+    items = stored(changelog.work_items(log.where(F.col("table_name") == table)).select("pk_value"), "items")
+    current = merge.fetch_changed(source, items, key, items.count())
+    once = stored(keys.dedup_by_key(current, [key], [*order, *(c for c in current.columns if c not in order)]), "changes")
+    return merge.merge_upsert(target, once, [key], changes_count=once.count())
 
 
 def sync_missing(source: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -40,6 +40,20 @@ FIXTURES = {
                WHEN p_partkey % 9 = 2 THEN '2024-01-05 10:20:30.123456' WHEN p_partkey % 9 = 3 THEN 'A T Z' ELSE '  ' || p_name || chr(9) END AS label, p_brand, p_retailprice,
                CASE WHEN p_partkey % 2 = 0 THEN 1700000000123 + p_partkey ELSE p_partkey END AS stamp
         FROM {part}""",
+    "tgt_orders_behind": """
+        SELECT o_orderkey + 5000000 AS o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'B' ELSE 'A' END AS sync_source_id, CAST(o_orderkey AS STRING) || CASE WHEN o_orderkey % 6 = 0 THEN '.0' ELSE '' END AS source_record_id
+        FROM {orders} WHERE o_orderkey * 5 < (SELECT max(o_orderkey) FROM {orders}) * 4""",
+    "tgt_shared": """
+        SELECT c_custkey + 100000 AS c_custkey, CAST(0 AS DOUBLE) AS balance, 'A' AS sync_source_id, CAST(c_custkey AS STRING) AS source_record_id
+        FROM {customer} WHERE c_custkey % 5 <> 0 AND c_custkey % 2 = 0""",
+    "src_lines": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM {lineitem}",
+    "tgt_lines": """
+        SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey, max(l_quantity) + 1 AS l_quantity, max(l_extendedprice) AS l_extendedprice
+        FROM {lineitem} WHERE l_linenumber <> 3 GROUP BY l_orderkey, l_linenumber""",
+    "src_codes": "SELECT '  ' || CAST(p_partkey AS STRING) || chr(9) AS code, p_brand, p_retailprice FROM {part}",
+    "tgt_codes": "SELECT CASE WHEN p_partkey % 2 = 0 THEN '  ' || CAST(p_partkey AS STRING) || chr(9) ELSE CAST(p_partkey AS STRING) END AS code, 'old' AS p_brand, p_retailprice FROM {part}",
+    "src_moments": "SELECT ts + event_id * INTERVAL 1 MICROSECOND AS moment, event_id, event_type FROM {events}",
+    "tgt_moments": "SELECT ts + event_id * INTERVAL 1 MICROSECOND AS moment, event_id, 'old' AS event_type FROM {events} WHERE event_id % 3 <> 0",
     "claims": """
         SELECT 'src_' || CAST(user_id AS STRING) AS source_id, CASE WHEN event_id % 50 = 0 THEN NULL ELSE 'h' || CAST(user_id % 7 AS STRING) END AS source_host,
                CASE event_type WHEN 'signup' THEN '' WHEN 'error' THEN NULL ELSE 'db' END AS source_db
@@ -64,6 +78,9 @@ FIXTURES = {
     "line_counts_target": "SELECT 'tbl_' || CAST(l_suppkey AS STRING) AS table_name, count(*) AS n_rows FROM {lineitem} WHERE l_suppkey % 7 <> 0 AND (l_suppkey % 3 <> 0 OR l_linenumber > 2) GROUP BY l_suppkey",
 }
 
+#: The log without the rows that a stream has not read yet.
+FIXTURES["audit_seen"] = FIXTURES["audit_log"] + " WHERE event_id % 13 <> 0"
+
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = FIXTURES[name]

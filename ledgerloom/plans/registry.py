@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions import tokens
 from ledgerloom.operators import changelog, diff, fk, keys, lineage, merge, schema
-from ledgerloom.plans import apply
+from ledgerloom.plans import apply, backfill
 from ledgerloom.plans.fixtures import TABLES, fixture, with_fixtures
-from ledgerloom.sources import tables
+from ledgerloom.sources import layers, tables
 from ledgerloom.sources.folders import new_folder
 from ledgerloom.streaming import apply as streaming
 
@@ -98,10 +98,10 @@ def s5(spark, sf):
     return tables.read_snapshot(spark, path)
 
 
-def written_log(spark, sf, files: int) -> str:
+def written_log(spark, sf, files: int, log: str = "audit_log") -> str:
     """The pending log as files split by log id."""
     path = new_folder(spark, "log")
-    log = fixture(spark, sf, "audit_log").where("status = 'pending'").select("log_id", "table_name", "pk_value", "operation", "created_at", "status", "processed_at", "retry_count")
+    log = fixture(spark, sf, log).where("status = 'pending'").select("log_id", "table_name", "pk_value", "operation", "created_at", "status", "processed_at", "retry_count")
     log.repartitionByRange(files, "log_id").write.parquet(path)
     return path
 
@@ -119,11 +119,11 @@ STREAM_CTES = """, pend AS (SELECT DISTINCT table_name, CAST(pk_value AS BIGINT)
     ready AS (SELECT o.* FROM orders o JOIN pend ON table_name = 'orders' AND k = o_orderkey WHERE o_custkey IN (SELECT c_custkey FROM cust))"""
 
 
-def run_orders_stream(spark, sf) -> str:
+def run_orders_stream(spark, sf, log: str = "audit_log") -> str:
     root = new_folder(spark, "targets")
     jobs = [streaming.Table("orders", lambda s: load(s, sf, "orders"), "o_orderkey", (fk.Link("o_custkey", "customer", "c_custkey"),)), streaming.Table("customer", lambda s: load(s, sf, "customer"), "c_custkey")]
     streaming.start_versions(spark, {"orders": fixture(spark, sf, "tgt_orders"), "customer": load(spark, sf, "customer").where("c_custkey % 5 <> 0")}, root, jobs)
-    streaming.run_stream(spark, written_log(spark, sf, 3), jobs, root)
+    streaming.run_stream(spark, written_log(spark, sf, 3, log), jobs, root)
     return root
 
 
@@ -142,7 +142,10 @@ def st2(spark, sf):
 
 @register("st1_lineage_apply", "audit_log", STREAM_CTES + " SELECT CAST(o_orderkey AS VARCHAR) AS source_record_id, CAST(o_custkey AS VARCHAR) AS customer_record, o_totalprice, true AS own_key FROM ready")
 def st1_lineage(spark, sf):
-    """The stream in the mode of several sources: stamped, foreign keys remapped, merged by lineage, keys of the target."""
+    """The stream in the mode of several sources: stamped, foreign keys remapped, merged by lineage, keys of the target.
+
+    New keys are to be unique and to follow the largest old one without gaps (`own_key`).
+    """
     root = new_folder(spark, "targets")
     customers = fixture(spark, sf, "tgt_customer")
     orders = lineage.stamp_lineage(load(spark, sf, "orders"), "A", "o_orderkey").limit(0)
@@ -153,20 +156,80 @@ def st1_lineage(spark, sf):
     streaming.start_versions(spark, {"orders": orders, "customer": customers}, root, jobs)
     streaming.run_stream(spark, written_log(spark, sf, 3), jobs, root)
     parents = streaming.read_target(spark, root, "customer").select("c_custkey", F.col("source_record_id").alias("customer_record"))
-    found = streaming.read_target(spark, root, "orders").join(parents, F.col("o_custkey") == F.col("c_custkey"))
-    return found.select("source_record_id", "customer_record", "o_totalprice", F.col("o_orderkey").isNotNull().alias("own_key"))
+    own = streaming.read_target(spark, root, "orders")
+    dense = own.agg((F.countDistinct("o_orderkey") == F.count("*")) & (F.min("o_orderkey") == 1) & (F.max("o_orderkey") == F.count("*"))).first()[0]
+    found = own.join(parents, F.col("o_custkey") == F.col("c_custkey"))
+    return found.select("source_record_id", "customer_record", "o_totalprice", (F.col("o_orderkey").isNotNull() & F.lit(dense)).alias("own_key"))
 
 
 @register(
     "st3_marked_log",
-    "audit_log",
-    STREAM_CTES
-    + f""", late AS ({LATE}) SELECT log_id, a.table_name, a.pk_value, CASE WHEN a.status = 'pending' AND (a.table_name LIKE 'sys%' OR (a.table_name IN ('orders', 'customer') AND late.pk_value IS NULL)) THEN 'processed' ELSE a.status END AS status
-    FROM audit_log a LEFT JOIN late ON late.table_name = a.table_name AND late.pk_value = a.pk_value""",
+    "audit_log audit_seen",
+    STREAM_CTES.replace("audit_log", "audit_seen")
+    + f""", late AS ({LATE}) SELECT a.log_id, a.table_name, a.pk_value,
+    CASE WHEN a.status = 'pending' AND s.log_id IS NOT NULL AND (a.table_name LIKE 'sys%' OR (a.table_name IN ('orders', 'customer') AND late.pk_value IS NULL)) THEN 'processed' ELSE a.status END AS status
+    FROM audit_log a LEFT JOIN audit_seen s ON s.log_id = a.log_id LEFT JOIN late ON late.table_name = a.table_name AND late.pk_value = a.pk_value""",
 )
 def st3(spark, sf):
+    """The whole log after a stream that has not read all of it: only what it has read is marked."""
     log = fixture(spark, sf, "audit_log").withColumn("retry_count", F.lit(0))
-    return streaming.marked_log(spark, run_orders_stream(spark, sf), log).select("log_id", "table_name", "pk_value", "status")
+    return streaming.marked_log(spark, run_orders_stream(spark, sf, "audit_seen"), log).select("log_id", "table_name", "pk_value", "status")
+
+
+@register(
+    "st4_composite_keys",
+    "src_lines tgt_lines audit_log",
+    """, changed AS (SELECT DISTINCT CAST(pk_value AS BIGINT) AS k FROM audit_log WHERE status = 'pending' AND table_name = 'orders' AND operation IN ('I', 'U')),
+    s AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_quantity, l_extendedprice) AS n FROM src_lines WHERE l_orderkey IN (SELECT k FROM changed))
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM s WHERE n = 1
+    UNION ALL SELECT t.* FROM tgt_lines t LEFT JOIN s ON s.n = 1 AND s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber WHERE s.n IS NULL""",
+)
+def st4(spark, sf):
+    """A table with a composite key: the log names orders, and all lines of an order come with it."""
+    root, log = new_folder(spark, "targets"), new_folder(spark, "log")
+    fixture(spark, sf, "audit_log").where("table_name = 'orders' AND status = 'pending'").withColumn("table_name", F.lit("lines")).select(*(x.split()[0] for x in streaming.LOG_SCHEMA.split(", "))).repartitionByRange(2, "log_id").write.parquet(log)
+    jobs = [streaming.Table("lines", lambda s: fixture(s, sf, "src_lines"), ("l_orderkey", "l_linenumber"))]
+    streaming.start_versions(spark, {"lines": fixture(spark, sf, "tgt_lines")}, root, jobs)
+    streaming.run_stream(spark, log, jobs, root)
+    return streaming.read_target(spark, root, "lines")
+
+
+@register(
+    "st5_adopt_legacy",
+    "legacy_customer audit_log",
+    """, changed AS (SELECT DISTINCT CAST(pk_value AS BIGINT) AS k FROM audit_log WHERE status = 'pending' AND table_name = 'customer' AND operation IN ('I', 'U')),
+    n AS (SELECT c.*, row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) + (SELECT max(c_custkey) FROM legacy_customer) AS new_key FROM customer c JOIN changed ON k = c_custkey WHERE c_custkey NOT IN (SELECT c_custkey FROM legacy_customer))
+    SELECT l.c_custkey, c.c_acctbal, CASE WHEN k IS NULL THEN l.sync_source_id ELSE 'A' END AS sync_source_id, CASE WHEN k IS NULL THEN l.source_record_id ELSE CAST(l.c_custkey AS VARCHAR) END AS source_record_id
+    FROM legacy_customer l JOIN customer c ON c.c_custkey = l.c_custkey LEFT JOIN changed ON k = l.c_custkey
+    UNION ALL SELECT new_key, c_acctbal, 'A', CAST(c_custkey AS VARCHAR) FROM n""",
+)
+def st5(spark, sf):
+    """Changed rows adopt the unlabelled rows of the target that have their keys; others get new keys."""
+    root = new_folder(spark, "targets")
+    jobs = [streaming.Table("customer", lambda s: load(s, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), "c_custkey", source_id="A", adopt_legacy=True)]
+    streaming.start_versions(spark, {"customer": fixture(spark, sf, "legacy_customer")}, root, jobs)
+    streaming.run_stream(spark, written_log(spark, sf, 1), jobs, root)
+    return streaming.read_target(spark, root, "customer").select("c_custkey", "c_acctbal", "sync_source_id", "source_record_id")
+
+
+@register(
+    "st6_odd_keys",
+    "src_codes tgt_codes src_moments tgt_moments",
+    """SELECT 'codes' AS table_name, code AS key_text, p_brand AS value FROM src_codes
+    UNION ALL SELECT 'codes', code, p_brand FROM tgt_codes WHERE code NOT IN (SELECT code FROM src_codes)
+    UNION ALL SELECT 'moments', CAST(epoch_us(moment) AS VARCHAR), event_type FROM src_moments""",
+)
+def st6(spark, sf):
+    """Keys with outer white space, and timestamps that differ in microseconds: each stays its own."""
+    root, log = new_folder(spark, "targets"), new_folder(spark, "log")
+    codes, moments = fixture(spark, sf, "src_codes"), fixture(spark, sf, "src_moments")
+    changes = changelog.change_rows(codes, "codes", "code", "U").union(changelog.change_rows(moments, "moments", "moment", "U"))
+    changes.selectExpr("monotonically_increasing_id() AS log_id", "table_name", "pk_value", "operation", "CAST(NULL AS TIMESTAMP_NTZ) AS created_at", "status", "CAST(NULL AS TIMESTAMP_NTZ) AS processed_at", "0 AS retry_count").coalesce(1).write.parquet(log)
+    jobs = [streaming.Table("codes", lambda s: codes, "code"), streaming.Table("moments", lambda s: moments, "moment")]
+    streaming.start_versions(spark, {"codes": fixture(spark, sf, "tgt_codes"), "moments": fixture(spark, sf, "tgt_moments")}, root, jobs)
+    streaming.run_stream(spark, log, jobs, root)
+    found = streaming.read_target(spark, root, "codes").select(F.lit("codes").alias("table_name"), F.col("code").alias("key_text"), F.col("p_brand").alias("value"))
+    return found.union(streaming.read_target(spark, root, "moments").select(F.lit("moments"), F.unix_micros(F.col("moment").cast("timestamp")).cast("string"), "event_type"))
 
 
 # Projections and filters.
@@ -251,10 +314,9 @@ def j3(spark, sf):
     return diff.missing_by_lineage(load(spark, sf, "orders").select("o_orderkey", "o_totalprice"), fixture(spark, sf, "lineage_orders"), "o_orderkey", "A")
 
 
-@register("j4_rows_above_watermark", "lineage_orders", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > (SELECT max(CAST(source_record_id AS BIGINT)) FROM lineage_orders WHERE sync_source_id = 'A' AND CAST(source_record_id AS BIGINT) % 5 = 1)")
+@register("j4_rows_above_watermark", "tgt_orders_behind", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > (SELECT max(CAST(CAST(source_record_id AS DECIMAL(18, 1)) AS BIGINT)) FROM tgt_orders_behind WHERE sync_source_id = 'A')")
 def j4(spark, sf):
-    target = fixture(spark, sf, "lineage_orders").where("source_record_id % 5 = 1")
-    return diff.rows_above_watermark(load(spark, sf, "orders").select("o_orderkey", "o_totalprice"), target, "o_orderkey", "A")
+    return diff.rows_above_watermark(load(spark, sf, "orders").select("o_orderkey", "o_totalprice"), fixture(spark, sf, "tgt_orders_behind"), "o_orderkey", "A")
 
 
 @register(
@@ -335,16 +397,15 @@ def j10(spark, sf):
 
 @register(
     "j11_shared_key_child",
-    "tgt_customer",
-    """SELECT t.c_custkey AS c_custkey, c.c_acctbal AS balance, 'A' AS sync_source_id, CAST(c.c_custkey AS VARCHAR) AS source_record_id, CASE WHEN c.c_custkey % 2 = 0 THEN 'U' ELSE 'I' END AS action
-    FROM customer c JOIN tgt_customer t ON t.source_record_id = CAST(c.c_custkey AS VARCHAR)""",
+    "tgt_customer tgt_shared",
+    """SELECT t.c_custkey AS c_custkey, c.c_acctbal AS balance, 'A' AS sync_source_id, CAST(c.c_custkey AS VARCHAR) AS source_record_id, CASE WHEN s.c_custkey IS NULL THEN 'I' ELSE 'U' END AS action
+    FROM customer c JOIN tgt_customer t ON t.source_record_id = CAST(c.c_custkey AS VARCHAR) LEFT JOIN tgt_shared s ON s.source_record_id = t.source_record_id""",
 )
 def j11(spark, sf):
     parents = fixture(spark, sf, "tgt_customer")
     child = lineage.stamp_lineage(load(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").alias("balance")), "A", "c_custkey")
     ready, _ = fk.remap_fks(child, {"customer": parents}, [fk.Link("c_custkey", "customer", "c_custkey")], "A")
-    target = parents.where("CAST(source_record_id AS BIGINT) % 2 = 0").select("c_custkey", F.lit(0.0).alias("balance"), "sync_source_id", "source_record_id")
-    return merge.merge_by_lineage(target, ready, "A", "c_custkey", preserve_pk=True).withColumnRenamed("_action", "action")
+    return merge.merge_by_lineage(fixture(spark, sf, "tgt_shared"), ready, "A", "c_custkey", preserve_pk=True).withColumnRenamed("_action", "action")
 
 
 @register(
@@ -633,6 +694,23 @@ def u1(spark, sf):
     return lineage.consolidate({"A": (fixture(spark, sf, "source_a"), "o_orderkey"), "B": (fixture(spark, sf, "source_b"), "o_orderkey")})
 
 
+@register(
+    "l7_backfill_job",
+    "legacy_customer",
+    "SELECT c_custkey, c_acctbal, coalesce(sync_source_id, 'L') AS sync_source_id, coalesce(source_record_id, CAST(c_custkey AS VARCHAR)) AS source_record_id FROM legacy_customer",
+)
+def l7(spark, sf):
+    """A back-fill in ranges that ends early and is started again."""
+    path = new_folder(spark, "backfill")
+    table = streaming.Table("customer", lambda s: load(s, sf, "customer"), "c_custkey", source_id="L")
+    df = fixture(spark, sf, "legacy_customer")
+    layers.create(df, path, table.identity(df.schema))
+    rows = max(1, df.count() // 10)
+    backfill.run_backfill(spark, path, "c_custkey", "L", table.identity, rows, most_ranges=1)
+    backfill.run_backfill(spark, path, "c_custkey", "L", table.identity, rows)
+    return layers.read(spark, path).select("c_custkey", "c_acctbal", "sync_source_id", "source_record_id")
+
+
 # Scalar functions, each over a column of every type it treats in its own way.
 
 

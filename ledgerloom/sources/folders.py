@@ -45,6 +45,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _at(spark, path)
+    fs.mkdirs(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Removes a file or folder with all that is in it, if it is there."""
     fs, where = _at(spark, path)

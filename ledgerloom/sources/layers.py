@@ -164,9 +164,11 @@ def write_delta(df: DataFrame, path: str, version: int, identity: Column, touche
     spark, m = df.sparkSession, read_manifest(df.sparkSession, path, version)
     kind = T.StructType([*m.schema, *(f for f in df.schema if f.name not in m.schema.names)])
     own = df.withColumn(IDENTITY, F.coalesce(identity, F.lit(""))).withColumns({LAYER: F.lit(version).cast("long"), BUCKET: bucket_of(F.col(IDENTITY), m.buckets)})
-    own.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, IDENTITY).write.mode("overwrite").parquet(f"{path}/delta={version}")
-    delta = Delta(version, touched.rows, touched.low or "", touched.high or "", base64.b64encode(touched.bits).decode(), touched.buckets)
-    new = m._replace(version=version, kind=kind.jsonValue(), deltas=[*m.deltas, delta], extra=m.extra if extra is None else extra)
+    new = m._replace(version=version, kind=kind.jsonValue(), extra=m.extra if extra is None else extra)
+    if touched.rows:
+        own.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, IDENTITY).write.mode("overwrite").parquet(f"{path}/delta={version}")
+        delta = Delta(version, touched.rows, touched.low, touched.high, base64.b64encode(touched.bits).decode(), touched.buckets)
+        new = new._replace(deltas=[*m.deltas, delta])
     if len(new.deltas) >= layers:
         dirty = {b for d in new.deltas for b in d.buckets}
         held = _write_base(_read(spark, path, new, only=dirty), path, version, m.buckets)

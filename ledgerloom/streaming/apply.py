@@ -7,11 +7,10 @@ rows that it has read with their outcomes. All versions are named by the batch a
 from those before it, so a batch that runs twice after a failure writes the same again.
 
     <table>      a target (`sources.layers`)
-    deferred     keys that wait or are parked: tries and reason
-    waits        of waiting keys the parents they wait for (table, identity)
-    arrivals     identities that the batch has written: what wakes the waiting
-    open         log rows read whose key waits
-    marks        log rows read and closed, a version a batch
+    deferred     keys that wait or are parked: tries, reason, and the batch that tried them last
+    waits        of waiting keys the parents they wait for (table, identity); without a key, what
+                 the batch has written, which wakes them
+    marks        log rows read, closed ones and those whose key waits, a version a batch
     work         tables of the batch under way, removed at its end
 """
 
@@ -31,14 +30,13 @@ from ledgerloom.functions import tokens
 from ledgerloom.operators import changelog, fk, keys, lineage, merge, schema
 from ledgerloom.sources import layers
 from ledgerloom.sources import tables as store
-from ledgerloom.sources.folders import read_text, remove, stored, write_text
+from ledgerloom.sources.folders import make_folder, read_text, remove, stored, write_text
 
 LOG_SCHEMA = "log_id long, table_name string, pk_value string, operation string, created_at timestamp_ntz, status string, processed_at timestamp_ntz, retry_count int"
 MARKED_SCHEMA = LOG_SCHEMA + ", source_id string, reason string"
-DEFERRED_SCHEMA = "table_name string, pk_value string, status string, retry_count int, reason string"
+DEFERRED_SCHEMA = "table_name string, pk_value string, status string, retry_count int, reason string, batch long"
 WAITS_SCHEMA = "table_name string, pk_value string, parent string, token string"
-ARRIVALS_SCHEMA = "parent string, token string"
-SNAPSHOTS = {"deferred": DEFERRED_SCHEMA, "waits": WAITS_SCHEMA, "arrivals": ARRIVALS_SCHEMA, "open": MARKED_SCHEMA}
+SNAPSHOTS = {"deferred": DEFERRED_SCHEMA, "waits": WAITS_SCHEMA}
 #: Versions kept of everything, and batches between two clean-ups.
 KEEP, CLEAN_EVERY = 3, 10
 #: Stands for any identity of a parent that can't be told from the foreign key.
@@ -214,7 +212,10 @@ def apply_batch(spark: SparkSession, log: DataFrame, tables: list[Table], root:
     now = now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     by_name = {t.name: t for t in tables}
     before = lambda name: store.read_snapshot(spark, f"{root}/{name}", store.current_version(spark, f"{root}/{name}", batch))
-    held, waits, news, opened = (before(name) for name in SNAPSHOTS)
+    held, waits = (before(name) for name in SNAPSHOTS)
+    news = waits.where("pk_value IS NULL").select("parent", "token")
+    last = store.current_version(spark, f"{root}/marks", batch)
+    opened = spark.createDataFrame([], MARKED_SCHEMA) if last is None else spark.read.schema(MARKED_SCHEMA).parquet(f"{root}/marks/version={last}/closed=false")
     scope = changelog.in_scope(F.col("table_name"), allow, deny)
     fresh = stored(log.where(F.col("status") == changelog.PENDING).withColumns({"_scope": scope, "_ours": scope & F.col("table_name").isin(*by_name)}), "log", work)
     # Rows of one file, bounded by maxFilesPerTrigger.
@@ -233,8 +234,8 @@ def apply_batch(spark: SparkSession, log: DataFrame, tables: list[Table], root:
             items = stored(items, "items", work)
             asleep = stored(tried(asleep, max_retries), "asleep", work)
             waiting.append(asleep.select("table_name", "pk_value", "status", "retry_count", "reason"))
-            waiting_for.append(own_waits.join(asleep.where(F.col("status") == changelog.PENDING), "pk_value", "left_semi"))
-        n = items.count()
+            waiting_for.append(own_waits.join(asleep.where(F.col("status") == changelog.PENDING), "pk_value", "left_semi").select(*waits.columns))
+        n = items.count() if (name, "old") in counts else counts[name, "new"]
         if not n:
             continue
         found = apply_table(spark, t, by_name, items, n, root, batch, done, work)
@@ -244,28 +245,28 @@ def apply_batch(spark: SparkSession, log: DataFrame, tables: list[Table], root:
         if t.links:
             kind = found.late.schema[TRIGGER].dataType
             pairs = reduce(DataFrame.union, [found.late.where(F.col(REASON) == "parent").select(TRIGGER, F.lit(x.parent_table).alias("parent"), F.col(f"_need_{i}").alias("token")) for i, x in enumerate(t.links)]).where("token IS NOT NULL").distinct()
-            waiting_for.append(late.where(F.col("status") == changelog.PENDING).withColumn("_own", F.col("pk_value").try_cast(kind)).join(pairs, F.col("_own") == F.col(TRIGGER)).select("table_name", "pk_value", "parent", "token"))
+            waiting_for.append(late.where(F.col("status") == changelog.PENDING).withColumn("_own", F.col("pk_value").try_cast(kind)).join(pairs, F.col("_own") == F.col(TRIGGER)).select(*waits.columns))
         if found.written is not None:
             arrived.append(found.written.select(F.lit(name).alias("parent"), F.col(layers.IDENTITY).alias("token")))
-            arrived.append(spark.createDataFrame([(name, ANY)], ARRIVALS_SCHEMA))
-    empty = {name: spark.createDataFrame([], kind) for name, kind in SNAPSHOTS.items()}
-    every = stored(reduce(DataFrame.unionByName, waiting, empty["deferred"]), "waiting", work)
+            arrived.append(spark.range(1).select(F.lit(name), F.lit(ANY)))
     # A parked key stays parked until a change of it succeeds.
     parked = held.where(F.col("status") == changelog.PARKED).join(changes, ["table_name", "pk_value"], "left_anti")
-    state = every.unionByName(parked)
-    outcomes = every.select("table_name", "pk_value", F.lit("deferred").alias("outcome"), "reason", (F.col("status") == changelog.PARKED).alias("_parked"))
+    state = reduce(DataFrame.unionByName, [x.withColumn("batch", F.lit(batch).cast("long")) for x in waiting], parked.select(*held.columns))
+    state.write.mode("overwrite").parquet(f"{root}/deferred/version={batch}")
+    state = spark.read.schema(held.schema).parquet(f"{root}/deferred/version={batch}")
+    outcomes = state.where(F.col("batch") == batch).select("table_name", "pk_value", F.lit("deferred").alias("outcome"), "reason", (F.col("status") == changelog.PARKED).alias("_parked"))
     read = opened.unionByName(fresh.where("_ours OR NOT _scope").drop("_scope", "_ours"), allowMissingColumns=True).drop("source_id", "reason")
     # All rows read of a key share its outcome, however often each was tried.
     read = read.join(outcomes, ["table_name", "pk_value"], "left").withColumn("retry_count", F.when(F.col("_parked"), F.greatest("retry_count", F.lit(max_retries - 1))).otherwise(F.when(F.col("outcome").isNotNull(), F.least("retry_count", F.lit(max_retries - 2))).otherwise(F.col("retry_count"))).cast("int"))
     settled = read.select(*(f.name for f in log.schema), F.coalesce("outcome", F.lit("done")).alias("outcome"), "reason")
-    marked = stored(changelog.marked(settled, now, source_id, max_retries).select(*T._parse_datatype_string(MARKED_SCHEMA).names), "marked", work)
-    where = f"{root}/marks/version={batch}"
-    marked.where(F.col("status") != changelog.PENDING).write.mode("overwrite").parquet(where)
+    marked = changelog.marked(settled, now, source_id, max_retries).select(*opened.columns, (F.col("status") != changelog.PENDING).alias("closed"))
+    marked.write.mode("overwrite").partitionBy("closed").parquet(f"{root}/marks/version={batch}")
+    for closed in ("true", "false"):  # both are there, if empty
+        make_folder(spark, f"{root}/marks/version={batch}/closed={closed}")
     write_text(spark, f"{root}/marks/pointer/version={batch}", now)
-    store.write_snapshot(marked.where(F.col("status") == changelog.PENDING), f"{root}/open", batch)
-    store.write_snapshot(reduce(DataFrame.unionByName, waiting_for, empty["waits"]), f"{root}/waits", batch)
-    store.write_snapshot(reduce(DataFrame.union, arrived[1:], empty["arrivals"]), f"{root}/arrivals", batch)
-    store.write_snapshot(state, f"{root}/deferred", batch)  # the last: with it the batch counts
+    none = F.lit(None).cast("string")
+    store.write_snapshot(reduce(DataFrame.union, [*waiting_for, *(x.select(none, none, "*") for x in arrived[1:])], waits.limit(0)), f"{root}/waits", batch)
+    store.commit_snapshot(held, f"{root}/deferred", batch)  # the last: with it the batch counts
     if batch % CLEAN_EVERY == CLEAN_EVERY - 1:
         clean(spark, root, tables)
     remove(spark, work)
@@ -285,11 +286,13 @@ def start_versions(spark: SparkSession, targets: dict[str, DataFrame], root: str
 
 
 def clean(spark: SparkSession, root: str, tables: list[Table], keep: int = KEEP) -> None:
-    """Removes versions that no batch can need any more."""
+    """Removes versions that no batch can need any more; closed log rows stay until they are purged."""
     for t in tables:
         layers.vacuum(spark, f"{root}/{t.name}", keep)
     for name in SNAPSHOTS:
         store.drop_snapshots(spark, f"{root}/{name}", keep)
+    for v in store.versions(spark, f"{root}/marks")[:-keep]:
+        remove(spark, f"{root}/marks/version={v}/closed=false")
 
 
 def read_target(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -305,8 +308,8 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
     """L1. The log rows that batches have read and that no purge has taken, with their outcomes; those of waiting keys are pending."""
     last = store.current_version(spark, f"{root}/deferred")
     done = [v for v in store.versions(spark, f"{root}/marks") if v <= last]
-    opened = store.read_snapshot(spark, f"{root}/open", last)
-    return opened.unionByName(spark.read.schema(MARKED_SCHEMA).parquet(*(f"{root}/marks/version={v}" for v in done))) if done else opened
+    folders = [f"{root}/marks/version={v}/closed=true" for v in done] + [f"{root}/marks/version={last}/closed=false"] * (last in done)
+    return spark.read.schema(MARKED_SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], MARKED_SCHEMA)
 
 
 def marked_log(spark: SparkSession, root: str, log: DataFrame) -> DataFrame:
@@ -322,7 +325,8 @@ def purge_marks(spark: SparkSession, root: str, days: int, now: str) -> list[int
     if days <= 0:
         return []
     limit = dt.datetime.fromisoformat(now) - dt.timedelta(days=days)
-    old = [v for v in store.versions(spark, f"{root}/marks") if dt.datetime.fromisoformat(read_text(spark, f"{root}/marks/pointer/version={v}")) < limit]
+    # The last version has the rows that are open, and stays.
+    old = [v for v in store.versions(spark, f"{root}/marks")[:-1] if dt.datetime.fromisoformat(read_text(spark, f"{root}/marks/pointer/version={v}")) < limit]
     for v in old:
         remove(spark, f"{root}/marks/pointer/version={v}")
         remove(spark, f"{root}/marks/version={v}")

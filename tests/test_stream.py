@@ -1,12 +1,15 @@
 """The continuous job on cases that go wrong easily, and the layered targets under it."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import changelog, fk, lineage
+from ledgerloom.operators import changelog, fk, lineage, merge
+from ledgerloom.plans import apply as plans
+from ledgerloom.plans import backfill
 from ledgerloom.sources import layers
 from ledgerloom.sources import tables as store
 from ledgerloom.sources.folders import children, new_folder
@@ -297,3 +300,102 @@ def test_retries_of_the_operator(spark):
     items, asleep = streaming.retry_state(held, new, waits, arrived)
     assert rows(items) == [("1", 4), ("2", 0), ("9", 0)] and rows(asleep) == [("3", 1)]
     assert rows(streaming.tried(asleep, 2)) == [("3", 2, changelog.PARKED)]
+
+
+# The back-fill as a job.
+
+
+def backfill_target(spark, df, key, buckets=8):
+    path = new_folder(spark, "backfill")
+    t = streaming.Table("t", lambda s: df, key, source_id="L")
+    layers.create(df, path, t.identity(df.schema), buckets=buckets)
+    return path, t
+
+
+def test_a_killed_backfill_ends_like_one_run(spark):
+    df = spark.range(1, 101).selectExpr("id", "concat('v', id) AS v", "IF(id % 4 = 0, 'B', NULL) AS sync_source_id", "IF(id % 4 = 0, concat('b', id), NULL) AS source_record_id")
+    whole, t = backfill_target(spark, df, "id")
+    backfill.run_backfill(spark, whole, "id", "L", t.identity, 20)
+    killed, _ = backfill_target(spark, df, "id")
+    assert backfill.progress(spark, {"t": (killed, "id")}, "L").first().status == "PENDING"
+    backfill.run_backfill(spark, killed, "id", "L", t.identity, 20, most_ranges=2)
+    half = backfill.progress(spark, {"t": (killed, "id")}, "L").first()
+    assert (half.last_key, half.rows_labelled, half.status) == ("53", 40, "RUNNING")
+    assert layers.read(spark, killed).where("sync_source_id = 'L'").count() == 40
+    backfill.run_backfill(spark, killed, "id", "L", t.identity, 20)
+    assert rows(layers.read(spark, killed)) == rows(layers.read(spark, whole)) and layers.read(spark, whole).where("sync_source_id IS NULL").count() == 0
+    done = backfill.progress(spark, {"t": (killed, "id"), "u": (whole, "id")}, "L").collect()
+    assert [(r.rows_labelled, r.status) for r in done] == [(75, "DONE"), (75, "DONE")]
+
+
+def test_a_version_without_its_manifest_is_done_again(spark, monkeypatch):
+    """The job dies after it has written a range and before that counts."""
+    df = spark.range(1, 31).selectExpr("id", "CAST(NULL AS STRING) AS sync_source_id", "CAST(NULL AS STRING) AS source_record_id")
+    path, t = backfill_target(spark, df, "id")
+    real, calls = layers._commit, []
+
+    def dies(*a):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+        real(*a)
+
+    monkeypatch.setattr(layers, "_commit", dies)
+    with pytest.raises(RuntimeError):
+        backfill.run_backfill(spark, path, "id", "L", t.identity, 10)
+    monkeypatch.setattr(layers, "_commit", real)
+    assert layers.read(spark, path).where("sync_source_id = 'L'").count() == 10
+    backfill.run_backfill(spark, path, "id", "L", t.identity, 10)
+    assert rows(layers.read(spark, path)) == sorted([(i, "L", str(i)) for i in range(1, 31)], key=str)
+
+
+def test_text_keys_are_swept(spark):
+    df = spark.createDataFrame([("a", None, None), (" b ", None, None), ("  ", None, None), (None, None, None), ("c", "B", "c")], "k string, sync_source_id string, source_record_id string")
+    path, t = backfill_target(spark, df, "k")
+    for _ in range(2):
+        backfill.run_backfill(spark, path, "k", "L", t.identity, 2, most_ranges=1)
+    backfill.run_backfill(spark, path, "k", "L", t.identity, 2)
+    assert rows(layers.read(spark, path)) == sorted([("a", "L", "a"), (" b ", "L", "b"), ("  ", None, None), (None, None, None), ("c", "B", "c")], key=str)
+
+
+# Parents, sources, changes.
+
+
+def test_few_children_move_only_the_parents_they_name(spark):
+    path = new_folder(spark, "parents")
+    spark.range(2000).selectExpr("id + 10000 AS id", "'A' AS sync_source_id", "CAST(id AS STRING) AS source_record_id").write.parquet(path)
+    parents, child = spark.read.parquet(path), spark.createDataFrame([(1, 7), (2, 7), (3, None), (4, 9999)], "k long, p long")
+    for split in (lambda n: fk.remap_fks(child, {"p": parents}, [fk.Link("p", "p", "id")], "A", child_count=n), lambda n: fk.split_by_parent(child, {"p": parents.selectExpr("id - 10000 AS id")}, [fk.Link("p", "p", "id")], child_count=n)):
+        few, many = split(4), split(None)
+        assert rows(few[0]) == rows(many[0]) and rows(few[1]) == rows(many[1]) and len(rows(few[1])) == 1
+        plan = few[0]._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"Aggregate \[_token_0(?s:.)*Join LeftSemi(?s:.)*Aggregate", plan)  # the parents go before their aggregate
+        assert "LeftSemi" not in many[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_skewed_keys_are_read_evenly(spark, tmp_path):
+    url = {"url": f"jdbc:derby:{tmp_path}/db;create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    # Most keys lie close together, a few far off, and some rows have none.
+    df = spark.range(4000).selectExpr("IF(id % 500 = 0, NULL, IF(id % 20 = 0, id * 1000000, id)) AS k", "id AS v").coalesce(1)
+    df.write.format("jdbc").options(**url, dbtable="t").mode("overwrite").save()
+    predicates = store.range_predicates(store.read_table(spark, url, "t").select("k"), "k", 8)
+    read = store.read_table(spark, url, "t", predicates=predicates)
+    sizes = sorted(r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(sizes) == 4000 and read.distinct().count() == 4000 and len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    equal = store.read_table(spark, url, "t", split=("k", 0, 4_000_000_000, 8))
+    assert max(r["count"] for r in equal.groupBy(F.spark_partition_id()).count().collect()) > 3000
+    assert store.range_predicates(spark.range(0), "id", 8) == ["1 = 1"] and len(store.range_predicates(spark.range(9).selectExpr("5 AS id"), "id", 4)) == 2
+
+
+def test_changes_are_fetched_once_and_wide_ones_are_not_broadcast(spark, monkeypatch):
+    source, target, log = (new_folder(spark, x) for x in ("source", "target", "log"))
+    spark.range(500).withColumn("v", F.lit("new")).write.parquet(source)
+    spark.range(0, 1000, 2).withColumn("v", F.lit("old")).write.parquet(target)
+    log_of(spark, [("t", str(i), "U") for i in range(0, 50)]).write.parquet(log)
+    run = lambda: plans.apply_changes(spark.read.parquet(log), spark.read.parquet(source), spark.read.parquet(target), "t", "id", ["id"])
+    merged = run()
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert source not in plan and merged.where("_action = 'I'").count() == 25 and merged.where("_action = 'U'").count() == 25 and merged.count() == 525
+    monkeypatch.setattr(merge, "BROADCAST_BYTES", 100)
+    assert merge.size_of(spark.createDataFrame([("abc", 1)], "s string, n int")) == 3 + 2 * merge.VALUE_BYTES
+    assert not merge.are_few(spark.createDataFrame([("x" * 200,)], "s string"), 1) and rows(run()) == rows(merged)
