@@ -166,7 +166,62 @@ def test_quality_on_held_out_documents(spark):
     assert precision > 0.94 and recall > 0.98 and found.score.between(0, 1).all()
 
 
+def test_quality_scores_by_hand(spark):
+    """Features, equations of both halves, bins, curve and scores of every document by plain loops."""
+    import math
+
+    docs = load(spark, SMALL, "documents")
+    labels = {r.doc_id: r.quality for r in load(spark, SMALL, "labels").where("quality IN (0, 1)").collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    stats = quality.with_statistics(docs).withColumn("half", quality.half_of_rows()).collect()
+    x = {r.doc_id: [float(r[s]) for s in quality.STATISTICS] for r in stats}
+    assert all(np.allclose(x[r.doc_id], quality.statistics(r.text), rtol=1e-6) for r in docs.collect())
+    half = {r.doc_id: r.half for r in stats}
+    known = sorted(d for d in labels if d in x)
+    n = len(known)
+    mean = [sum(x[d][k] for d in known) / n for k in range(len(quality.STATISTICS))]
+    scale = [max(1e-6, math.sqrt(sum((x[d][k] - mean[k]) ** 2 for d in known) / n)) for k in range(len(mean))]
+    rng = np.random.default_rng(quality.SEED)
+    w = rng.normal(size=(len(mean), quality.FEATURES)) / quality.KERNEL_WIDTH
+    b = rng.uniform(0, 2 * np.pi, quality.FEATURES)
+
+    def features(d):
+        z = np.array([min(8.0, max(-8.0, (v - m) / s)) for v, m, s in zip(x[d], mean, scale)])
+        return np.array([*(math.sqrt(2 / quality.FEATURES) * math.cos(float(z @ w[:, j]) + b[j]) for j in range(quality.FEATURES)), 1.0])
+
+    z = {d: features(d) for d in x}
+
+    def weights(own):
+        a, y = np.zeros((quality.FEATURES + 1,) * 2), np.zeros(quality.FEATURES + 1)
+        for d in own:
+            a += np.outer(z[d], z[d])
+            y += z[d] * labels[d]
+        a[np.diag_indices(quality.FEATURES)] += quality.RIDGE * len(own)
+        return np.linalg.solve(a, y)
+
+    whole, other = weights(known), [weights([d for d in known if half[d] != k]) for k in (0, 1)]
+    bin_of = lambda raw: int(min(quality.BINS - 1, max(0.0, (raw - quality.LOW) / (quality.HIGH - quality.LOW) * quality.BINS)))
+    seen, share = {}, sum(labels[d] for d in known) / n
+    for d in known:
+        count, ones = seen.get(at := bin_of(float(z[d] @ other[half[d]])), (0, 0))
+        seen[at] = count + 1, ones + labels[d]
+    at = sorted(seen)
+    value, weight = [(seen[i][1] + share) / (seen[i][0] + 1) for i in at], [seen[i][0] + 1 for i in at]
+    average = lambda i, j: sum(value[k] * weight[k] for k in range(i, j + 1)) / sum(weight[i : j + 1])
+    # Isotonic regression by its max-min formula.
+    level = [max(min(average(i, j) for j in range(k, len(at))) for i in range(k + 1)) for k in range(len(at))]
+    curve = np.interp(range(quality.BINS), at, level)
+    near = 0
+    for r in quality.query(spark, SMALL).collect():
+        raw = float(z[r.doc_id] @ whole)
+        want = min(1.0, max(0.0, 0.999 * curve[bin_of(raw)] + 0.001 * min(1.0, max(0.0, (raw - quality.LOW) / (quality.HIGH - quality.LOW)))))
+        near += abs(r.score - want) < 1e-6
+        assert r.predicted == int(r.score >= quality.THRESHOLD)
+    assert near >= len(x) - 1  # a score may lie on the edge of a bin
+
+
 def test_toxicity_on_held_out_documents(spark):
+    """Recall stays low here: some 290 toxic texts are too few for dictionaries. The bar was 0.5 until the windows
+    were no longer picked words (measured then 0.65, since 0.47); README says what was tried."""
     precision, recall, found = held_out(spark, toxicity.query, "toxic")
     assert precision > 0.85 and recall > 0.45 and found.score.between(0, 1).all()
     assert found[found.toxic == 1].score.mean() > 3 * found[found.toxic == 0].score.mean()
