@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import tokens
 from ledgerloom.operators.changelog import in_scope
@@ -17,11 +18,22 @@ def same(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool = T
     return reduce(lambda a, b: a & b, (equal(left[k], right[k]) for k in keys))
 
 
+def is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.StringType, T.CharType, T.VarcharType))
+
+
 def missing_rows(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """J2. Rows of the source whose full key the target lacks; null keys compare equal. Only keys of the target move."""
-    own = target.select(*(F.col(k).alias(f"_t_{k}") for k in keys))
-    on = reduce(lambda a, b: a & b, (source[k].eqNullSafe(own[f"_t_{k}"]) for k in keys))
-    return source.join(own, on, "left_anti")
+    """J2. Rows of the source whose full key the target lacks; null keys compare equal. Only keys of the target move.
+
+    Keys of one type compare as they are. Where one side has texts and the other times or numbers, both compare
+    by their tokens (F2).
+    """
+    form = lambda df, k: tokens.key_token(F.col(k), df.schema[k].dataType) if is_text(source, k) != is_text(target, k) else F.col(k)
+    names = [f"_k_{i}" for i in range(len(keys))]
+    own = target.select(*(form(target, k).alias(f"_t{n}") for k, n in zip(keys, names)))
+    marked = source.withColumns({n: form(source, k) for k, n in zip(keys, names)})
+    on = reduce(lambda a, b: a & b, (marked[n].eqNullSafe(own[f"_t{n}"]) for n in names))
+    return marked.join(own, on, "left_anti").drop(*names)
 
 
 def missing_by_lineage(source: DataFrame, target: DataFrame, key: str, source_id: str) -> DataFrame:

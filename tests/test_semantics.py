@@ -274,3 +274,11 @@ def test_few_changes_do_not_shuffle_the_target(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 3
     assert rows(merged.where("v = 'new'")) == [(5, "new", "U"), (5000, "new", "I")] and merged.count() == 1001
+
+
+def test_keys_of_text_and_of_time_compare_by_token(spark):
+    source = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 10, 0)), (2, dt.datetime(2024, 1, 1, 10, 0, 0, 500000)), (3, dt.datetime(2024, 1, 1, 11, 0)), (4, None)], "n int, k timestamp_ntz")
+    target = spark.createDataFrame([("2024-01-01T10:00:00Z",), (" 2024-01-01 10:00:00.500",), (None,)], "k string")
+    assert rows(diff.missing_rows(source, target, ["k"]).select("n")) == [(3,)]
+    numbers = spark.createDataFrame([("7",), ("8",)], "k string")
+    assert rows(diff.missing_rows(spark.range(7, 10).withColumnRenamed("id", "k"), numbers, ["k"])) == [(9,)]
