@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower_table, load, stored, text_slices
+from .common import ascii_lower_table, load, sieved, stored, text_slices
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -217,10 +217,15 @@ def one_of_each(docs: DataFrame, with_fp: Callable[[DataFrame], DataFrame], find
     text_of = F.col("row").getField(text).cast("string")
     named = {"is_null": F.col("row").getField(doc_id).isNull(), "doc_id": F.coalesce(F.col("row").getField(doc_id).cast("long"), F.lit(0)), "hash_1": F.xxhash64(text_of), "hash_2": F.xxhash64(F.lit(7), text_of)}
     rows = stored(with_fp(whole.select(*(c.alias(k) for k, c in named.items()), text_of.alias("text"))), "simhash-fingerprints")
-    kept = classes(rows, F.struct(*named), find).select("low.*").distinct()
+    kept = stored(classes(rows, F.struct(*named), find).select("low.*").distinct(), "simhash-kept")
     others = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in (doc_id, text)]
     tie = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
-    return whole.withColumns(named).join(kept, list(named), "left_semi").groupBy(*named).agg(F.min_by("row", tie).alias("row")).select("row.*")
+    # Few rows go, so those that certainly stay, alone with their id and text, aren't shuffled.
+    counts = rows.groupBy(*named).count().join(kept.withColumn("stays", F.lit(True)), list(named), "left")
+    doubtful = stored(counts.where("stays IS NULL OR count > 1").select(F.xxhash64(*named).alias("key")), "simhash-doubtful")
+    marked = sieved(whole.withColumns(named).withColumn("key", F.xxhash64(*named)), "key", doubtful)
+    rest = marked.where("_may").join(kept, list(named), "left_semi").groupBy(*named).agg(F.min_by("row", tie).alias("row"))
+    return marked.where("NOT _may").select("row.*").union(rest.select("row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

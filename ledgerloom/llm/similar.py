@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import PieceMemo, different
-from .common import kept, stored, text_slices
+from .common import kept, sieved, stored, text_slices
 from .simhash import LOWER, components, links, one_of_each, with_fingerprints
 
 SHINGLE, SIMILARITY = 5, "0.8"
@@ -287,8 +287,8 @@ def checked(pairs: DataFrame, texts: DataFrame, shingle: int, level: Fraction) -
                 keep.append(both >= level * (len(own) + len(other) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    own = stored(texts.join(needed, "fp", "left_semi"), "similar-needed")
+    needed = stored(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct(), "similar-asked")
+    own = stored(sieved(texts, "fp", needed).where("_may").drop("_may").join(needed, "fp", "left_semi"), "similar-needed")
     of = lambda c: own.select(F.col("fp").alias(c), F.col("text").alias(f"{c}_text"))
     return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
@@ -316,10 +316,10 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: str = SI
     pairs = pairs.where("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b")
     new = stored(checked(stored(pairs, "similar-pairs"), texts, shingle, level), "similar-links")
     found = found.union(new)
-    hot = met.where("h IS NOT NULL").select("h").distinct()
+    hot = stored(met.where("h IS NOT NULL").select("h").distinct(), "similar-hot")
     if hot.isEmpty():
         return found
-    left = every.join(hot, "h", "left_semi")
+    left = sieved(every, "h", hot).where("_may").drop("_may").join(hot, "h", "left_semi")
     # At the first shingle that two sets share, what follows is all they can share besides it.
     room = f"least(a.n, b.n) * {q}L >= greatest(a.n, b.n) * {p}L AND least(a.n - a.at, b.n - b.at) * {p + q}L >= (a.n + b.n) * {p}L"
     for star in range(STARS + 1):
@@ -374,17 +374,22 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: str = SIMIL
     shingle. A null id is larger than any. Equal rows are one. A text of any length is compared whole. Columns
     stay as they are, whatever their names. An empty table stays empty.
     """
-    held: list[DataFrame] = []
+    several, copied = None, None
 
     def with_ids(rows: DataFrame) -> DataFrame:
+        nonlocal several, copied
         found = stored(with_content(rows), "similar-contents")
         several = shared(found)
-        held[:] = [] if several.isEmpty() else [stored(several, "similar-several")]
-        return told_apart(found, *held or [None])
+        several = None if several.isEmpty() else stored(several, "similar-several")
+        found = told_apart(found, several)
+        copied = stored(found.groupBy("fp").count().where("count > 1").select("fp"), "similar-copied")
+        return found
 
     def links(_: DataFrame) -> DataFrame:
         own = docs.select(F.col(f"`{text}`").cast("string").alias("own"), F.col(f"`{text}`").cast("string").alias("text"))
-        texts = stored(told_apart(with_content(own), *held or [None]).groupBy("fp").agg(F.min("own").alias("text")), "similar-texts")
-        return similar_links(texts, shingle, similarity)
+        marked = sieved(told_apart(with_content(own), several), "fp", copied)
+        # Only texts that may have copies are shuffled to lose them.
+        once = marked.where("_may").groupBy("fp").agg(F.min("own").alias("text"))
+        return similar_links(stored(marked.where("NOT _may").select("fp", F.col("own").alias("text")).union(once), "similar-texts"), shingle, similarity)
 
     return one_of_each(docs, with_ids, links, doc_id, text)

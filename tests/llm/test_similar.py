@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SMALL
 from ledgerloom.llm import similar
@@ -123,3 +124,13 @@ def test_of_equal_ids_and_texts_one_certain_row_stays(spark):
     rows = [(1, "the same text", f"s{i}") for i in range(20)]
     kept = {similar.deduplicate(spark.createDataFrame(random.Random(seed).sample(rows, 20), "doc_id long, text string, source string").repartition(4)).collect()[0].source for seed in range(3)}
     assert len(kept) == 1
+
+
+def test_a_sieve_holds_back_only_strangers(spark):
+    from ledgerloom.llm import common
+
+    keys = common.stored(spark.range(0, 3000, 3).select(F.concat(F.lit("k"), "id").alias("k")), "keys")
+    rows = spark.range(3000).select("id", F.concat(F.lit("k"), "id").alias("own"))
+    found = {r.id: r._may for r in common.sieved(rows, "own", keys).collect()}
+    assert len(found) == 3000 and all(found[i] for i in range(0, 3000, 3)) and sum(found.values()) < 1300
+    assert not any(r._may for r in common.sieved(rows, "own", common.stored(keys.limit(0), "keys")).collect())
