@@ -24,9 +24,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """`df` written as a table in the shared folder and read back: lineage ends here, and a lost executor costs nothing."""
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+def stored(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """`df` written as a table in the shared folder (or in `folder`, which its owner removes) and read back: lineage ends here, and a lost executor costs nothing."""
+    path = f"{folder or shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -29,6 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.folders import new_folder, remove
+
 from .bpe import PieceMemo, different
 from .common import kept, sieved, stored, text_slices
 from .simhash import LOWER, components, links, one_of_each, with_fingerprints
@@ -239,19 +241,33 @@ class Overlaps:
         return found
 
 
-def blocked(rows: DataFrame, every: DataFrame, texts: DataFrame, shingle: int, level: Fraction) -> DataFrame:
-    """`a`, `b`: pairs of texts under one shingle that have different roots, share no rarer shingle and may be similar.
+def dealt(rows: DataFrame) -> DataFrame:
+    """`rows` (`h`, `fp`, `n`, `at`, `root` and `m`, the size of their group) with the groups that texts are compared in, `cell` and `h`.
+
+    A passage that many texts share gives many shingles with much the same group under each. Groups with the same
+    smallest hash of a text (the likelier, the more they have in common) are one cell, and a text is in it once, at its
+    first place there. Where that makes more comparisons than the groups by themselves, these stay. `m` is the size.
+    """
+    cells = rows.groupBy("h").agg(F.min(F.xxhash64("fp", F.lit("cell"))).alias("cell"))
+    own = stored(rows.join(cells, "h").select("cell", "h", "fp", "n", "at", "root", "m"), "similar-cells")
+    # The sum of m over the rows of a group is m * m.
+    sizes = own.groupBy("cell", "fp").agg(F.sum("m").alias("m")).groupBy("cell").agg(F.count("*").alias("texts"), F.sum("m").alias("alone"))
+    joint = F.col("texts") * F.col("texts") <= F.col("alone")
+    placed = own.join(sizes, "cell").select("cell", F.when(joint, 0).otherwise(F.col("h")).alias("h"), "fp", "n", "at", "root", F.when(joint, F.col("texts")).otherwise(F.col("m")).alias("m"))
+    return placed.groupBy("cell", "h", "fp", "n", "root", "m").agg(F.min("at").alias("at"))
+
+
+def blocked(rows: DataFrame, texts: DataFrame, shingle: int, level: Fraction) -> DataFrame:
+    """`a`, `b`: pairs of texts that have different roots and may be similar, among them all such that meet first under a shingle of `rows`.
 
-    `rows` have `h`, `fp`, `n`, `at`, `root` and `m`, the size of their group; `every` is all that `filed` gave. No
-    task holds a whole group: it gets two blocks of it. Bitmaps of all shingles bound what two texts share.
+    `rows` are what `dealt` takes. No task holds a whole large group: it gets two blocks of it. Bitmaps of all
+    shingles bound what two texts share.
     """
     p, q = level.numerator, level.denominator
 
     def compare(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         fp, n, at, root, block = (table.column(c).to_numpy().astype(np.int64) for c in ("fp", "n", "at", "root", "block"))
-        rare = table.column("rare").to_pylist()
-        sets, before = [frozenset(x) for x in rare], [x[:k] for x, k in zip(rare, at.tolist())]
         overlaps = Overlaps(table.column("bits").to_pylist(), n)
         second, found = np.flatnonzero(block == j), []
         for x in np.flatnonzero(block == i).tolist():
@@ -259,17 +275,19 @@ def blocked(rows: DataFrame, every: DataFrame, texts: DataFrame, shingle: int, l
             both = n[y] + n[x]
             y = y[(root[y] != root[x]) & (np.minimum(n[y], n[x]) * q >= np.maximum(n[y], n[x]) * p) & (np.minimum(n[y] - at[y], n[x] - at[x]) * (p + q) >= both * p)]
             y = y[overlaps.most(x, y) * (p + q) >= (n[y] + n[x]) * p]
-            found += [(k, x) for k in y.tolist() if sets[k].isdisjoint(before[x])]
+            found += [(k, x) for k in y.tolist()]
         k, x = np.array(found, np.int64).reshape(-1, 2).T
         return pa.table([pa.array(np.minimum(fp[k], fp[x])), pa.array(np.maximum(fp[k], fp[x]))], names=["a", "b"])
 
-    named = stored(rows.select("fp").distinct(), "similar-named")
-    rare = every.join(named, "fp", "left_semi").groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("at", "h")))["h"].alias("rare"))
+    own = stored(dealt(rows), "similar-dealt")
+    named = stored(own.select("fp").distinct(), "similar-named")
     blocks = F.ceil(F.col("m") / BLOCK).cast("long")
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), blocks)).join(rare, "fp").join(bitmaps(texts.join(named, "fp", "left_semi"), shingle), "fp")
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = dealt.select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp", "n", "at", "root", "block", "rare", "bits")
-    return dealt.groupBy("h", "i", "j").applyInArrow(compare, "a long, b long")
+    # Texts stay where they are; their bitmaps travel.
+    maps = bitmaps(sieved(texts, "fp", named).where("_may"), shingle)
+    split = own.withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), blocks)).join(maps, "fp")
+    split = split.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    split = split.select("cell", "h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp", "n", "at", "root", "block", "bits")
+    return split.groupBy("cell", "h", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def checked(pairs: DataFrame, texts: DataFrame, shingle: int, level: Fraction) -> DataFrame:
@@ -288,7 +306,8 @@ def checked(pairs: DataFrame, texts: DataFrame, shingle: int, level: Fraction) -
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     needed = stored(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct(), "similar-asked")
-    own = stored(sieved(texts, "fp", needed).where("_may").drop("_may").join(needed, "fp", "left_semi"), "similar-needed")
+    # The sieve lets few others pass, and the joins leave them out; so texts are shuffled once for both sides.
+    own = sieved(texts, "fp", needed).where("_may")
     of = lambda c: own.select(F.col("fp").alias(c), F.col("text").alias(f"{c}_text"))
     return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
@@ -303,13 +322,16 @@ def fingerprint_pairs(texts: DataFrame, shingle: int) -> DataFrame:
     return same.union(near).distinct()
 
 
-def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: str = SIMILARITY) -> DataFrame:
-    """`a`, `b`: links whose components are those of all links between the different `texts` (`fp`, `text`)."""
+def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: str = SIMILARITY, folder: str | None = None) -> DataFrame:
+    """`a`, `b`: links whose components are those of all links between the different `texts` (`fp`, `text`).
+
+    What is returned reads nothing of `texts` or of `folder`, where large working tables go; the caller may remove both.
+    """
     level = Fraction(similarity)
     p, q = level.numerator, level.denominator
     found = stored(checked(stored(fingerprint_pairs(texts, shingle), "similar-pairs"), texts, shingle, level), "similar-links")
     roots = stored(components(found), "similar-roots")
-    every = stored(filed(texts, shingle, level), "similar-shingles")
+    every = stored(filed(texts, shingle, level), "similar-shingles", folder)
     met = stored(meetings(every, level), "similar-met")
     of = lambda c: roots.select(F.col("fp").alias(c), F.col("root").alias(f"{c}_root"))
     pairs = met.where("h IS NULL").select("a", "b").distinct().join(of("a"), "a", "left").join(of("b"), "b", "left")
@@ -335,7 +357,7 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: str = SI
             around = many.alias("a").join(left.alias("b"), "h").where(f"a.fp <> b.fp AND a.root <> b.root AND {room}")
             pairs = pairs.union(around.select(F.least("a.fp", "b.fp").alias("a"), F.greatest("a.fp", "b.fp").alias("b")))
         else:
-            pairs = pairs.union(blocked(left.join(many.select("h", "m"), "h"), every, texts, shingle, level))
+            pairs = pairs.union(blocked(left.join(many.select("h", "m"), "h"), texts, shingle, level))
         new = stored(checked(stored(pairs.distinct(), "similar-pairs"), texts, shingle, level), "similar-links")
         found = found.union(new)
         if star == STARS or many.isEmpty():
@@ -390,6 +412,10 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: str = SIMIL
         marked = sieved(told_apart(with_content(own), several), "fp", copied)
         # Only texts that may have copies are shuffled to lose them.
         once = marked.where("_may").groupBy("fp").agg(F.min("own").alias("text"))
-        return similar_links(stored(marked.where("NOT _may").select("fp", F.col("own").alias("text")).union(once), "similar-texts"), shingle, similarity)
+        folder = new_folder(docs.sparkSession, "similar")
+        texts = stored(marked.where("NOT _may").select("fp", F.col("own").alias("text")).union(once), "similar-texts", folder)
+        found = similar_links(texts, shingle, similarity, folder)
+        remove(docs.sparkSession, folder)
+        return found
 
     return one_of_each(docs, with_ids, links, doc_id, text)

@@ -134,3 +134,31 @@ def test_a_sieve_holds_back_only_strangers(spark):
     found = {r.id: r._may for r in common.sieved(rows, "own", keys).collect()}
     assert len(found) == 3000 and all(found[i] for i in range(0, 3000, 3)) and sum(found.values()) < 1300
     assert not any(r._may for r in common.sieved(rows, "own", common.stored(keys.limit(0), "keys")).collect())
+
+
+def test_a_text_travels_once_for_a_passage(spark):
+    """Twenty shingles of one passage were twenty groups of the same texts. Groups that hardly overlap stay apart."""
+    passage = [(h, fp, 100, 5 + h % 7, fp, 40) for h in range(20) for fp in range(40)]
+    low = spark.range(1000, 2000).orderBy(F.xxhash64("id", F.lit("cell"))).first().id
+    apart = [(h, fp, 100, h, fp, 30) for h in range(50, 60) for fp in [low, *range(h * 100, h * 100 + 29)]]
+    rows = spark.createDataFrame(passage + apart, "h long, fp long, n int, at int, root long, m long")
+    found = similar.dealt(rows).collect()
+    joint = [r for r in found if r.fp < 40]
+    assert sorted(r.fp for r in joint) == list(range(40)) and {(r.m, r.at) for r in joint} == {(40, 5)} and len({(r.cell, r.h) for r in joint}) == 1
+    others = [r for r in found if r.fp >= 40]
+    together = {(r.cell, r.h) for r in others}
+    assert {r.fp for r in others} == {r[1] for r in apart}
+    for a in apart:  # whoever met meets still
+        assert any(r.fp == a[1] and r.at <= a[3] for r in others if any(x.fp == low and (x.cell, x.h) == (r.cell, r.h) for x in others))
+    assert len(together) == 10 and {r.m for r in others} == {30}
+
+
+def test_large_working_tables_go(spark):
+    from ledgerloom.sources.folders import children, shared_folder
+
+    before = set(children(spark, shared_folder(spark)))
+    kept = similar.deduplicate(spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e f"), (3, "other")], "doc_id long, text string"))
+    new = set(children(spark, shared_folder(spark))) - before
+    assert new and not any(x.startswith(("similar-texts", "similar-shingles", "similar-needed")) for x in new)
+    assert not any(x.startswith("similar-") and x.count("-") == 1 for x in new)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
