@@ -10,7 +10,8 @@ from those before it, so a batch that runs twice after a failure writes the same
     deferred     keys that wait or are parked: tries, reason, and the batch that tried them last
     waits        of waiting keys the parents they wait for (table, identity); without a key, what
                  the batch has written, which wakes them
-    marks        log rows read, closed ones and those whose key waits, a version a batch
+    marks        log rows read, closed ones and those whose key waits, a version a batch; rows without
+                 a write may be closed before their key waits, and get its outcome when they are read
     work         tables of the batch under way, removed at its end
 """
 
@@ -305,11 +306,29 @@ def read_deferred(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
-    """L1. The log rows that batches have read and that no purge has taken, with their outcomes; those of waiting keys are pending."""
+    """L1. The log rows that batches have read and that no purge has taken, with their outcomes; those of waiting keys are pending.
+
+    A row that leads to no write has the outcome of the next rows of its key that do, also if its own batch has
+    closed it before these were read: so it does not matter into which batches the log falls.
+    """
     last = store.current_version(spark, f"{root}/deferred")
     done = [v for v in store.versions(spark, f"{root}/marks") if v <= last]
     folders = [f"{root}/marks/version={v}/closed=true" for v in done] + [f"{root}/marks/version={last}/closed=false"] * (last in done)
-    return spark.read.schema(MARKED_SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], MARKED_SCHEMA)
+    none = spark.createDataFrame([], MARKED_SCHEMA)
+    if not folders:
+        return none
+    seen = spark.read.schema(MARKED_SCHEMA + ", version long").option("basePath", f"{root}/marks").parquet(*folders).select(*none.columns, "version")
+    key, status, writes = ["table_name", "pk_value"], F.col("status"), F.coalesce(F.col("operation").isin(*changelog.WRITES), F.lit(False))
+    waiting = read_deferred(spark, root).where(status == changelog.PENDING).select(*key, F.struct("status", "retry_count", "reason", F.lit(None).cast("timestamp_ntz").alias("processed_at"), F.lit(None).cast("string").alias("source_id")).alias("_now"))
+    # Closed rows of other keys are as they should be.
+    asked = waiting.select(*key).union(seen.where(status == changelog.PARKED).select(*key)).distinct()
+    ends = seen.where(writes & (status != changelog.PENDING)).join(asked, key, "left_semi").groupBy(*key, "version").agg(F.max(F.struct("status", "retry_count", "reason", "processed_at", "source_id")).alias("end"))
+    fates = asked.join(ends.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("version", "end"))).alias("_ends")), key, "left").join(waiting, key, "left")
+    idle = F.coalesce(~writes & (status == changelog.PROCESSED), F.lit(False))
+    fate = F.coalesce(F.get(F.filter("_ends", lambda x: x["version"] >= F.col("version")), F.lit(0))["end"], F.col("_now"))
+    shared = seen.where(idle).join(fates, key, "left").withColumn("_fate", F.when(fate["status"] != changelog.PROCESSED, fate))
+    own = [F.when(F.col("_fate").isNotNull(), F.col(f"_fate.{c}")).otherwise(F.col(c)).alias(c) if c in ("status", "retry_count", "reason", "processed_at", "source_id") else F.col(c) for c in none.columns]
+    return seen.where(~idle).select(*none.columns).unionByName(shared.select(*own))
 
 
 def marked_log(spark: SparkSession, root: str, log: DataFrame) -> DataFrame:

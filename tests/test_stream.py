@@ -76,6 +76,30 @@ def test_only_read_log_rows_are_marked(spark):
     assert rows(streaming.read_target(spark, root, "t")) == [(1, "x")]
 
 
+def test_rows_without_a_write_share_the_next_outcome_of_their_key(spark):
+    """Batches may close deletes before they read that the key changes; what becomes of the key holds for these too."""
+    root, fetched = new_folder(spark, "idle"), []
+    jobs, parents, kids = waiting_jobs(spark, fetched)
+    streaming.start_versions(spark, {"parent": parents.limit(0), "child": kids.limit(0)}, root, jobs)
+    log = log_of(spark, [("child", "10", "D"), ("child", "20", "D"), ("child", "10", "U"), ("child", "20", "U"), ("child", "20", "D"), ("parent", "1", "U"), ("child", "20", "D"), ("child", "20", "U")])
+    status = lambda: {r.log_id: r.status for r in streaming.marked_log(spark, root, log).collect()}
+    for batch, (ids, want) in enumerate(
+        [
+            ((1, 2), "processed processed pending pending pending pending pending pending"),
+            ((3, 4), "pending pending pending pending pending pending pending pending"),
+            ((5, 6), "processed deferred_max processed deferred_max deferred_max processed pending pending"),
+            ((7,), "processed deferred_max processed deferred_max deferred_max processed processed pending"),
+            ((8,), "processed deferred_max processed deferred_max deferred_max processed pending pending"),
+        ]
+    ):
+        streaming.apply_batch(spark, log.where(F.col("log_id").isin(*ids)), jobs, root, batch, max_retries=2, source_id="A", now=f"2024-01-0{batch + 1} 00:00:00")
+        assert [s for _, s in sorted(status().items())] == want.split()
+    found = {r.log_id: (r.retry_count, r.processed_at, r.source_id, r.reason) for r in streaming.read_log(spark, root).collect()}
+    assert len(found) == streaming.read_log(spark, root).count() == 8
+    assert found[1] == (0, dt.datetime(2024, 1, 1), "A", None) and found[2] == found[4] == (2, dt.datetime(2024, 1, 3), "A", "parent")
+    assert found[7] == found[8] == (1, None, None, "parent")
+
+
 def test_rejected_children_with_a_shared_key_wait(spark):
     root = new_folder(spark, "shared")
     parents = spark.createDataFrame([(101, "A", "1"), (102, "A", "2")], "id long, sync_source_id string, source_record_id string")
